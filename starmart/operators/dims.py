@@ -28,7 +28,8 @@ def first_per_key(df: DataFrame, key: str, order_col: str, cols: list[str]) -> D
 
 
 def insert_if_absent(incoming: DataFrame, existing: DataFrame | None, business_key: str,
-                     key_col: str | None = None, order_col: str | None = None) -> DataFrame:
+                     key_col: str | None = None, order_col: str | None = None,
+                     cached: list | None = None) -> DataFrame:
     """Rows of ``incoming`` whose business key is not yet in ``existing``,
     deduplicated (first by ``order_col``) and, with ``key_col``, numbered
     after the current maximum key. The caller appends the result."""
@@ -41,7 +42,8 @@ def insert_if_absent(incoming: DataFrame, existing: DataFrame | None, business_k
         incoming = incoming.join(existing.select(business_key), business_key, "left_anti")
     if key_col is None:
         return incoming
-    keyed = assign_surrogate_keys(incoming, business_key, key_col, next_key_start(existing, key_col))
+    keyed = assign_surrogate_keys(incoming, business_key, key_col, next_key_start(existing, key_col),
+                                  cached=cached)
     return keyed.select(key_col, business_key, *cols)
 
 
@@ -77,6 +79,11 @@ def date_rows(dates: DataFrame, date_col: str = "sale_date") -> DataFrame:
     return d.select(*date_attributes(F.col("_d")))
 
 
+def dates_of_facts(facts: DataFrame) -> DataFrame:
+    """The dates of fact rows, from their computed yyyymmdd key."""
+    return facts.select(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("sale_date"))
+
+
 def new_dates(dates: DataFrame, existing: DataFrame | None, date_col: str = "sale_date") -> DataFrame:
     rows = date_rows(dates, date_col)
     if existing is not None:

@@ -9,6 +9,7 @@ partitioned by ``batch_id``.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,12 +69,15 @@ class Warehouse:
         return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
 
     def create(self) -> "Warehouse":
-        """Create every table empty, so each can be read before its first load."""
-        for name, schema in SCHEMAS.items():
-            empty = self.spark.createDataFrame([], schema)
+        """Create every table empty, so each can be read before its first load
+        (independent small jobs, submitted concurrently)."""
+        def make(name):
+            empty = self.spark.createDataFrame([], SCHEMAS[name])
             parts = PARTITIONS.get(name)
             w = empty.write.mode("ignore")
             (w.partitionBy(*parts) if parts else w).parquet(self.path(name))
+        with ThreadPoolExecutor(max_workers=len(SCHEMAS)) as pool:
+            list(pool.map(make, SCHEMAS))
         return self
 
     def star(self) -> Star:
