@@ -36,16 +36,21 @@ def _on_star(fn, year_param: bool):
     return run
 
 
-def stream_load(spark: SparkSession, sf_dir: str, n_files: int = 4):
+def stream_load(spark: SparkSession, sf_dir: str, n_files: int | None = None,
+                max_bytes_per_trigger: str | None = None):
     """Load a fresh warehouse through the streaming loader: masters as a
-    batch, then the transactions landed as ``n_files`` CSV files and
-    consumed one file per micro-batch with ``availableNow``."""
+    batch, then the transactions landed as ``n_files`` CSV files (default:
+    the session's parallelism) and consumed with ``availableNow``, a
+    quarter of the files per micro-batch, or ``max_bytes_per_trigger`` per
+    micro-batch when given (bounded batches at any data size)."""
+    n_files = n_files or max(4, spark.sparkContext.defaultParallelism)
     wh = new_warehouse(spark, f"{sf_dir}-stream")
     loader = WarehouseLoader(wh)
     loader.load_masters(testdata.customers(spark, sf_dir), testdata.products(spark, sf_dir))
     landing = f"{checkpoint_root(spark)}/starmart-landing/{uuid.uuid4().hex[:10]}"
     testdata.land_transactions(spark, sf_dir, landing, n_files=n_files, fmt="csv")
-    run_to_completion(spark, wh, landing, max_files_per_trigger=1, loader=loader, timeout_s=3600)
+    run_to_completion(spark, wh, landing, max_files_per_trigger=max(1, n_files // 4),
+                      max_bytes_per_trigger=max_bytes_per_trigger, loader=loader, timeout_s=3600)
     return wh, loader
 
 

@@ -3,7 +3,9 @@
     landing folder --readStream--> micro-batch --foreachBatch--> loader
                                                    (dims, facts, rejects)
 
-* micro-batching and back-pressure: ``maxFilesPerTrigger`` bounds a batch;
+* micro-batching and back-pressure: ``maxBytesPerTrigger`` (or
+  ``maxFilesPerTrigger``) bounds a batch, so batch size stays fixed while
+  the number of batches grows with the data;
 * oldest files first (``latestFirst`` false);
 * drain and stop: ``availableNow`` processes what is there, then stops;
   ``processingTime`` keeps polling;
@@ -31,14 +33,18 @@ from starmart.streaming.loader import WarehouseLoader
 
 def start_loader(spark: SparkSession, warehouse: Warehouse, landing_dir: str,
                  checkpoint_location: str | None = None, fmt: str = "csv",
-                 max_files_per_trigger: int | None = 1, available_now: bool = True,
+                 max_files_per_trigger: int | None = 1, max_bytes_per_trigger: str | None = None,
+                 available_now: bool = True,
                  processing_time: str = "10 seconds", glob: str | None = None,
                  loader: WarehouseLoader | None = None) -> tuple[StreamingQuery, WarehouseLoader]:
     """Start the streaming load of ``landing_dir`` into ``warehouse``."""
     loader = loader or WarehouseLoader(warehouse)
     ckpt = checkpoint_location or f"{checkpoint_root(spark)}/starmart-stream/{warehouse.root.rsplit('/', 1)[-1]}"
+    if max_bytes_per_trigger:
+        max_files_per_trigger = None  # the two limits are exclusive; bytes wins
     stream = stream_transactions(spark, landing_dir, fmt=fmt,
-                                 max_files_per_trigger=max_files_per_trigger, glob=glob)
+                                 max_files_per_trigger=max_files_per_trigger,
+                                 max_bytes_per_trigger=max_bytes_per_trigger, glob=glob)
     w = stream.writeStream.foreachBatch(loader).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start(), loader
