@@ -59,6 +59,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._star: Star | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -81,15 +82,22 @@ class Warehouse:
         return self
 
     def star(self) -> Star:
-        return Star(fact=self.read(FACT), customer=self.read("dim_customer"),
-                    product=self.read("dim_product"), store=self.read("dim_store"),
-                    supplier=self.read("dim_supplier"), date=self.read("dim_date"))
+        """The star tables. Kept between calls (the file listing of the
+        partitioned fact is done once) and dropped by every write made
+        through this object, so a reader never misses its own loads."""
+        if self._star is None:
+            self._star = Star(fact=self.read(FACT), customer=self.read("dim_customer"),
+                              product=self.read("dim_product"), store=self.read("dim_store"),
+                              supplier=self.read("dim_supplier"), date=self.read("dim_date"))
+        return self._star
 
     # -- writes -----------------------------------------------------------
     def append(self, name: str, df: DataFrame) -> None:
+        self._star = None
         df.write.mode("append").parquet(self.path(name))
 
     def overwrite_partitions(self, name: str, df: DataFrame, *partition_cols: str) -> None:
         """Replace only the partitions ``df`` has rows for (idempotent replay)."""
+        self._star = None
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_cols).parquet(self.path(name)))
