@@ -185,9 +185,13 @@ def co_occurrence(df: DataFrame, basket: str, item: str, hot_basket_items: int =
     shuffle on the pair.
     """
     lines = df.groupBy(basket, item).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = lines.groupBy(basket).agg(F.count(F.lit(1)).alias("_k"))
-    lines = lines.join(sizes, basket)
-    hot = F.col("_k") > hot_basket_items
+    # Only the hot baskets are joined back (at most distinct lines /
+    # hot_basket_items of them, usually none): AQE sees the real size of this
+    # set at run time and broadcasts it when small, else joins by shuffle.
+    hot_set = (lines.groupBy(basket).agg(F.count(F.lit(1)).alias("_k"))
+               .filter(F.col("_k") > hot_basket_items).select(basket, F.lit(True).alias("_hot")))
+    lines = lines.join(hot_set, basket, "left")
+    hot = F.coalesce(F.col("_hot"), F.lit(False))
     left = lines.select(F.col(basket), F.col(item).alias("_i1"), F.col("_n").alias("_n1"),
                         F.when(hot, F.pmod(F.hash(F.col(item)), F.lit(salts))).otherwise(F.lit(0)).alias("_salt"))
     right = lines.select(F.col(basket), F.col(item).alias("_i2"), F.col("_n").alias("_n2"),

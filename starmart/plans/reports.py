@@ -5,9 +5,11 @@ DataFrame API. Plan shape, applied throughout:
 
 * a year slice filters the fact's own ``year`` partition column, so the
   scan reads only that year's folders (no join needed to prune);
-* facts are aggregated by surrogate key first and wide dimension
-  attributes are joined afterwards, so the dimension join sees one row per
-  key and group, not one per sale;
+* facts are aggregated by key first and wide dimension attributes are
+  joined afterwards, so the dimension join sees one row per key and group,
+  not one per sale; a report grouped above the product level (category,
+  store, supplier) joins the narrow product columns first and aggregates by
+  those keys, so partial aggregation shrinks the fact before any shuffle;
 * the date dimension is broadcast explicitly only where it is filtered to
   a year (at most 366 rows); every other join strategy is left to Catalyst
   and AQE (broadcast under the threshold, shuffle join above it);
@@ -56,6 +58,16 @@ def _quarter(month_col: str = "month"):
     return ((F.col(month_col) - 1) / 3).cast("int") + 1
 
 
+def _by_product_attrs(f: DataFrame, star: Star, attrs: list[str], group: list, measure: str = "total_amount",
+                      out: str = "_rev") -> DataFrame:
+    """Sum ``measure`` by product attributes (category, store key, supplier
+    key) and ``group``: the narrow product columns are joined to the fact
+    first, so partial aggregation reduces the fact to one row per coarse
+    group inside each task before anything is shuffled."""
+    return (f.join(star.product.select("product_key", *attrs), "product_key")
+            .groupBy(*attrs, *group).agg(F.sum(measure).alias(out)))
+
+
 def _product_names(star: Star) -> DataFrame:
     """Product with its store and supplier names (product-sized)."""
     return (star.product.select("product_key", "Product_ID", "Product_Category", "store_key", "supplier_key")
@@ -183,10 +195,8 @@ def q07_avg_by_stay_gender(star: Star) -> DataFrame:
 
 # Q9 -------------------------------------------------------------------------
 def q09_monthly_growth(star: Star, year: int = DEFAULT_YEAR) -> DataFrame:
-    monthly = (_fact(star, "product_key", "month", "total_amount", year=year)
-               .groupBy("product_key", "month").agg(F.sum("total_amount").alias("_rev"))
-               .join(star.product.select("product_key", "Product_Category"), "product_key")
-               .groupBy("Product_Category", "month").agg(F.sum("_rev").alias("_rev"))
+    monthly = (_by_product_attrs(_fact(star, "product_key", "month", "total_amount", year=year), star,
+                                 ["Product_Category"], ["month"])
                .withColumn("year", F.lit(year).cast("int")))
     g = olap.period_growth(monthly, "Product_Category", ["year", "month"], "_rev", "_prev", "growth_percentage")
     return (g.orderBy("Product_Category", "year", "month")
@@ -224,9 +234,8 @@ def q11_top_products_month_daytype(star: Star, year: int = DEFAULT_YEAR, n: int
 
 # Q12 ------------------------------------------------------------------------
 def q12_store_quarter_growth(star: Star, year: int = DEFAULT_YEAR) -> DataFrame:
-    per = (_fact(star, "product_key", "month", "total_amount", year=year)
-           .groupBy("product_key", _quarter().alias("quarter")).agg(F.sum("total_amount").alias("_rev"))
-           .join(star.product.select("product_key", "store_key"), "product_key")
+    f = _fact(star, "product_key", "month", "total_amount", year=year).withColumn("quarter", _quarter())
+    per = (_by_product_attrs(f, star, ["store_key"], ["quarter"])
            .join(star.store.select("store_key", "storeName"), "store_key")
            .groupBy("storeName", "quarter").agg(F.sum("_rev").alias("_rev")))
     g = olap.period_growth(per, "storeName", "quarter", "_rev", "_prev", "growth_rate_percentage")
@@ -264,9 +273,10 @@ def q14_seasonal(star: Star) -> DataFrame:
 
 # Q15 ------------------------------------------------------------------------
 def q15_volatility(star: Star) -> DataFrame:
-    per = (_fact(star, "product_key", "year", "month", "total_amount")
-           .groupBy("product_key", "year", "month").agg(F.sum("total_amount").alias("_rev"))
-           .join(_product_names(star).select("product_key", "storeName", "supplierName"), "product_key")
+    per = (_by_product_attrs(_fact(star, "product_key", "year", "month", "total_amount"), star,
+                             ["store_key", "supplier_key"], ["year", "month"])
+           .join(star.store.select("store_key", "storeName"), "store_key")
+           .join(star.supplier.select("supplier_key", "supplierName"), "supplier_key")
            .groupBy("storeName", "supplierName", "year", "month").agg(F.sum("_rev").alias("_rev")))
     g = olap.period_growth(per, ["storeName", "supplierName"], ["year", "month"], "_rev", "_prev",
                            "volatility_percentage", absolute=True)
@@ -378,10 +388,8 @@ def q19b_spikes_staged(star: Star, factor: float = 2.0) -> DataFrame:
 # Q20 ------------------------------------------------------------------------
 def store_quarterly_sales(star: Star) -> DataFrame:
     """The STORE_QUARTERLY_SALES view: sales by store name, year, quarter."""
-    return (_fact(star, "product_key", "year", "month", "total_amount")
-            .groupBy("product_key", "year", _quarter().alias("quarter"))
-            .agg(F.sum("total_amount").alias("_s"))
-            .join(star.product.select("product_key", "store_key"), "product_key")
+    f = _fact(star, "product_key", "year", "month", "total_amount").withColumn("quarter", _quarter())
+    return (_by_product_attrs(f, star, ["store_key"], ["year", "quarter"], out="_s")
             .join(star.store.select("store_key", "storeName"), "store_key")
             .groupBy("storeName", "year", "quarter").agg(F.sum("_s").alias("quarterly_sales"))
             .select("storeName", "year", F.col("quarter").cast("int").alias("quarter"), "quarterly_sales"))
