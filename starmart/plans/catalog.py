@@ -20,11 +20,12 @@ from starmart.plans.oracle import TEST_YEAR
 from starmart.session import checkpoint_root
 from starmart.sources import testdata
 from starmart.streaming.loader import WarehouseLoader
-from starmart.streaming.pipeline import run_to_completion
+from starmart.schemas import EVENT
+from starmart.streaming.pipeline import run_file_sink, run_to_completion, stream_static_join
 
 _LOCK = threading.RLock()
 _STREAMED: dict[tuple, object] = {}
-_ROLLUPS: set = set()
+_DONE: set = set()
 
 
 def _on_star(fn, year_param: bool):
@@ -63,12 +64,40 @@ def stream_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extras.fact_enriched(wh.star())
 
 
+def events_enriched_stream(spark: SparkSession, sf_dir: str):
+    """Stream the ``events`` table (one Parquet file picked from the folder by
+    glob) through a stream-static join with the customer dimension into an
+    exactly-once Parquet sink next to the warehouse. Returns the sink path."""
+    wh = warehouse_for(spark, sf_dir)
+    out = f"{wh.root}/events_enriched"
+    with _LOCK:
+        if out not in _DONE:
+            events = (spark.readStream.schema(EVENT).option("pathGlobFilter", "events.parquet")
+                      .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+            cust = wh.star().customer.select("Customer_ID", "customer_key", "City_Category")
+            joined = stream_static_join(events.withColumn("Customer_ID", F.col("user_id").cast("string")),
+                                        cust, "Customer_ID")
+            run_file_sink(joined.select("event_id", "customer_key", "user_id", "City_Category", "event_type",
+                                        "value"),
+                          out, f"{wh.root}/_stream_checkpoints/events_enriched", partition_by=("event_type",))
+            _DONE.add(out)
+    return out
+
+
+def events_by_city_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per type and customer city, from the streamed enrichment."""
+    e = spark.read.parquet(events_enriched_stream(spark, sf_dir))
+    return (e.groupBy("event_type", "City_Category")
+            .agg(F.count(F.lit(1)).alias("n_events"), F.count_distinct("user_id").alias("n_users"),
+                 F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total_value")))
+
+
 def rollup_quarterly_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = warehouse_for(spark, sf_dir)
     with _LOCK:
-        if wh.root not in _ROLLUPS:
+        if wh.root not in _DONE:
             views.materialize_rollup(wh)
-            _ROLLUPS.add(wh.root)
+            _DONE.add(wh.root)
     r = views.read_rollup(wh)
     return r.select("storeName", "year", "quarter", F.col("quarterly_sales").cast("double").alias("quarterly_sales"))
 
@@ -83,4 +112,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[name] = _on_star(fn, name in extras.YEAR_PARAM)
     q["stream_enriched"] = stream_enriched
     q["rollup_quarterly_materialized"] = rollup_quarterly_materialized
+    q["events_by_city_stream"] = events_by_city_stream
     return q

@@ -415,6 +415,14 @@ SELECT Product_ID, COUNT(*) AS days_with_sales,
 FROM daily GROUP BY Product_ID"""
 
 
+QUERIES["events_by_city_stream"] = """
+SELECT e.event_type, dc.City_Category, COUNT(*) AS n_events, COUNT(DISTINCT e.user_id) AS n_users,
+       CAST(SUM(CAST(e.value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+FROM events e
+JOIN dim_customer dc ON CAST(e.user_id AS VARCHAR) = dc.Customer_ID
+GROUP BY e.event_type, dc.City_Category"""
+
+
 def sql(name: str) -> str:
     body = QUERIES[name]
     stripped = body.lstrip()

@@ -115,3 +115,11 @@ REJECTS_RESOLVED = T.StructType([
     T.StructField("row_id", T.LongType(), False),
     T.StructField("resolved_in", T.LongType(), False),
 ])
+
+# The columns of the test-data event stream that the event enrichment reads.
+EVENT = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", S),
+    T.StructField("value", T.DoubleType()),
+])

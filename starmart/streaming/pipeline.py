@@ -22,7 +22,7 @@ or a driver restart.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from starmart.session import checkpoint_root
@@ -61,3 +61,39 @@ def run_to_completion(spark: SparkSession, warehouse: Warehouse, landing_dir: st
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return loader
+
+
+def stream_static_join(stream: DataFrame, master: DataFrame, on: Column | str | list,
+                       how: str = "inner") -> DataFrame:
+    """Join an unbounded stream with a static master relation.
+
+    Each micro-batch is joined with the master as it is when the batch runs.
+    With the stream on the left, ``inner``, ``left``, ``left_semi`` and
+    ``left_anti`` are allowed (an outer join on the static side would need
+    state for ever). The strategy is Catalyst's: a master under the
+    broadcast threshold is broadcast to the batch, a larger one is joined by
+    shuffle every batch.
+    """
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError(f"join type {how!r} is not supported with the stream on the left")
+    return stream.join(master, on, how)
+
+
+def run_file_sink(df: DataFrame, path: str, checkpoint_location: str, partition_by=(),
+                  available_now: bool = True, timeout_s: float = 3600) -> StreamingQuery:
+    """Write a stream to Parquet with the exactly-once file sink (the sink's
+    own log under ``path/_spark_metadata`` lists the committed files, so a
+    re-run batch never duplicates rows for readers), and wait for the drain."""
+    w = (df.writeStream.format("parquet").option("path", path)
+         .option("checkpointLocation", checkpoint_location).outputMode("append"))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    q = w.start()
+    if available_now:
+        if not q.awaitTermination(timeout_s):
+            q.stop()
+            raise TimeoutError(f"stream did not drain within {timeout_s}s")
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return q
