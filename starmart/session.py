@@ -39,6 +39,43 @@ def get_spark(cpus: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+def tune_for_scale(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
+                   broadcast_bytes: int = 64 << 20) -> dict:
+    """Size the runtime SQL settings for a job reading ``input_bytes``.
+
+    * shuffle partitions: enough that each holds about
+      ``target_partition_bytes`` (AQE coalesces them when a stage is small,
+      so over-provisioning is cheap and under-provisioning spills);
+    * AQE advisory size and skew thresholds on the same scale, so a hot key
+      (a customer, an order, a store with a large share of the rows) is split
+      into several tasks by the skew-join rule;
+    * scan splits of the same size, so a task reads about one target;
+    * the broadcast threshold: dimensions under it are broadcast, larger
+      ones are joined by shuffle (the check of size is Spark's, on table
+      statistics at planning and on actual sizes under AQE).
+
+    Returns the settings applied. Only runtime SQL settings are changed, so
+    this works on a running session.
+    """
+    parts = max(200, int(input_bytes // target_partition_bytes) + 1)
+    conf = {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

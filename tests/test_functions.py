@@ -55,3 +55,17 @@ def test_line_amount_decimal_and_overflow(spark):
     df = spark.createDataFrame([(3, "10.50"), (10 ** 9, "99999999.99")], "q int, p string")
     got = [r[0] for r in df.select(measures.line_amount("q", F.col("p").cast("decimal(10,2)"))).collect()]
     assert str(got[0]) == "31.50" and got[1] is None
+
+
+def test_tune_for_scale_sizes_partitions(spark):
+    from starmart.session import tune_for_scale
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold",
+                                             "spark.sql.files.maxPartitionBytes",
+                                             "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    try:
+        conf = tune_for_scale(spark, 100 * (1 << 40))  # 100 TiB
+        assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 4096 + 1
+        assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
