@@ -91,6 +91,11 @@ class Warehouse:
                               supplier=self.read("dim_supplier"), date=self.read("dim_date"))
         return self._star
 
+    def preview(self, name: str, n: int = 5) -> DataFrame:
+        """First rows of a table (S8): a limit on the scan, which stops reading
+        once ``n`` rows are found."""
+        return self.read(name).limit(n)
+
     # -- writes -----------------------------------------------------------
     def append(self, name: str, df: DataFrame) -> None:
         self._star = None

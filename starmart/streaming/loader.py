@@ -44,12 +44,17 @@ class BatchReport:
 
 
 class WarehouseLoader:
-    def __init__(self, warehouse: Warehouse, persist_batches: bool = False):
+    def __init__(self, warehouse: Warehouse, persist_batches: bool = False, retry_each_batch: bool = False):
         """``persist_batches`` caches each micro-batch for its outputs; by
         default a batch re-reads its own (already landed) files instead,
-        which measured faster than building the cache."""
+        which measured faster than building the cache. ``retry_each_batch``
+        re-runs the lookups of open rejects after every micro-batch (rows
+        wait in quarantine until their master row arrives); retries use
+        negative batch ids, -(batch_id + 1), so they never collide with the
+        stream's own ids and a replayed batch repeats the same retry."""
         self.wh = warehouse
         self.persist_batches = persist_batches
+        self.retry_each_batch = retry_each_batch
         self.reports: list[BatchReport] = []
 
     # -- master data -------------------------------------------------------
@@ -138,6 +143,8 @@ class WarehouseLoader:
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         """``foreachBatch`` entry point."""
         self.process_batch(df, batch_id, persist=self.persist_batches)
+        if self.retry_each_batch:
+            self.retry_rejects(-(batch_id + 1))
 
     # -- rejects ----------------------------------------------------------------
     def retry_rejects(self, retry_batch_id: int) -> BatchReport:
