@@ -18,7 +18,7 @@ from starmart.plans import diagnostics, extras, reports, views
 from starmart.plans.build import new_warehouse, warehouse_for
 from starmart.plans.oracle import TEST_YEAR
 from starmart.session import checkpoint_root
-from starmart.sources import testdata
+from starmart.sources import files, testdata
 from starmart.streaming.loader import WarehouseLoader
 from starmart.schemas import EVENT
 from starmart.streaming.pipeline import run_file_sink, run_to_completion, stream_static_join
@@ -52,16 +52,44 @@ def stream_load(spark: SparkSession, sf_dir: str, n_files: int | None = None,
     testdata.land_transactions(spark, sf_dir, landing, n_files=n_files, fmt="csv")
     run_to_completion(spark, wh, landing, max_files_per_trigger=max(1, n_files // 4),
                       max_bytes_per_trigger=max_bytes_per_trigger, loader=loader, timeout_s=3600)
-    return wh, loader
+    return wh, loader, landing
 
 
-def stream_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _streamed(spark: SparkSession, sf_dir: str):
     key = (sf_dir, checkpoint_root(spark))
     with _LOCK:
         if key not in _STREAMED:
-            _STREAMED[key] = stream_load(spark, sf_dir)[0]
-        wh = _STREAMED[key]
-    return extras.fact_enriched(wh.star())
+            _STREAMED[key] = stream_load(spark, sf_dir)
+        return _STREAMED[key]
+
+
+def stream_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extras.fact_enriched(_streamed(spark, sf_dir)[0].star())
+
+
+def load_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read from the landed files, loaded as facts and rejected, for the
+    streaming load (read = loaded + rejected, C7)."""
+    wh, landing = _streamed(spark, sf_dir)[0], _streamed(spark, sf_dir)[2]
+    loaded = wh.read("fact_sales").select(F.count(F.lit(1))).scalar()
+    rejected = wh.read("rejects").select(F.count(F.lit(1))).scalar()
+    return files.read_transactions(spark, landing).select(
+        F.count(F.lit(1)).alias("read_rows"), loaded.alias("loaded_rows"), rejected.alias("rejected_rows"))
+
+
+def dim_customer_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer dimension after loading the whole customer master twice:
+    insert-if-absent (D5) leaves it equal to a single load."""
+    key = ("reloaded", sf_dir, checkpoint_root(spark))
+    with _LOCK:
+        if key not in _STREAMED:
+            wh = new_warehouse(spark, f"{sf_dir}-reload")
+            loader = WarehouseLoader(wh)
+            for _ in range(2):
+                loader.load_masters(testdata.customers(spark, sf_dir), None)
+            _STREAMED[key] = (wh,)
+        wh = _STREAMED[key][0]
+    return wh.read("dim_customer")
 
 
 def events_enriched_stream(spark: SparkSession, sf_dir: str):
@@ -113,4 +141,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["stream_enriched"] = stream_enriched
     q["rollup_quarterly_materialized"] = rollup_quarterly_materialized
     q["events_by_city_stream"] = events_by_city_stream
+    q["load_accounting"] = load_accounting
+    q["dim_customer_reloaded"] = dim_customer_reloaded
     return q

