@@ -124,6 +124,8 @@ class WarehouseLoader:
                 wh.append("dim_date", D.new_dates(loading, wh.read("dim_date")))
             f = facts(enriched, batch_id)
             r = rejects(enriched, batch_id)
+            # a replay of this batch id finds its reject partition written
+            replay = self._rejects_of(batch_id).limit(1).count() > 0
             # AQE rebalances by (year, month): it coalesces small months and
             # splits large ones, so each output file has a sensible size and a
             # task writes few folders, sequentially (sorted by date inside).
@@ -133,6 +135,12 @@ class WarehouseLoader:
             if not persist:
                 written = wh.read(FACT).filter(F.col("batch_id") == batch_id)
                 wh.append("dim_date", D.new_dates(D.dates_of_facts(written), wh.read("dim_date")))
+            if replay and r.limit(1).count() == 0:
+                # Dimensions only grow, so a replay rejects a subset of what the
+                # first run rejected: a non-empty reject set overwrote the old
+                # partition; an empty one wrote nothing and left it. Its rows
+                # loaded this time: mark them resolved by this batch.
+                self._mark_resolved(self._rejects_of(batch_id).select("batch_id", "row_id"), batch_id)
             report = BatchReport(batch_id, *self._written_counts(batch_id))
         finally:
             for df in cached:
@@ -152,7 +160,8 @@ class WarehouseLoader:
         against the current dimensions. Rows that resolve become facts of
         ``retry_batch_id`` and are recorded as resolved, so they are not
         retried or counted as open again. Re-running the same retry id is
-        idempotent."""
+        idempotent. Retry ids share the fact's ``batch_id`` space, so they
+        must differ from the stream's batch ids (negative ids are safe)."""
         wh = self.wh
         resolved = wh.read(RESOLVED).filter(F.col("resolved_in") != retry_batch_id)
         open_ = retryable(wh.read(REJECTS), resolved)
@@ -162,20 +171,27 @@ class WarehouseLoader:
                  .checkpoint(eager=True))  # cut lineage: we write where we read
         wh.append("dim_date", D.new_dates(fixed, wh.read("dim_date")))
         wh.overwrite_partitions(FACT, facts(fixed, retry_batch_id), "year", "month", "batch_id")
-        wh.overwrite_partitions(RESOLVED, fixed.select(
-            F.col("src_batch_id").alias("batch_id"), "row_id",
-            F.lit(retry_batch_id).cast("long").alias("resolved_in")), "resolved_in")
+        self._mark_resolved(fixed.select(F.col("src_batch_id").alias("batch_id"), "row_id"), retry_batch_id)
         report = BatchReport(retry_batch_id, self._written_counts(retry_batch_id)[0], 0)
         self.reports.append(report)
         return report
 
+    def _rejects_of(self, batch_id: int) -> DataFrame:
+        return self.wh.read(REJECTS).filter(F.col("batch_id") == batch_id)
+
+    def _mark_resolved(self, rows: DataFrame, resolved_in: int) -> None:
+        self.wh.overwrite_partitions(RESOLVED, rows.select(
+            "batch_id", "row_id", F.lit(resolved_in).cast("long").alias("resolved_in")), "resolved_in")
+
     def _written_counts(self, batch_id: int) -> tuple[int, int]:
         """(facts, rejects) written for ``batch_id``: counted from the batch's
         own partitions (Parquet row counts of a few files), so the numbers
         are what the tables hold, also after a replay."""
         b = F.col("batch_id") == batch_id
+        own = self.wh.read(RESOLVED).filter(F.col("resolved_in") == batch_id).select("batch_id", "row_id")
+        open_ = self._rejects_of(batch_id).join(own, ["batch_id", "row_id"], "left_anti")
         row = (self.wh.read(FACT).filter(b).select(F.lit(1).alias("f"), F.lit(0).alias("r"))
-               .unionByName(self.wh.read(REJECTS).filter(b).select(F.lit(0).alias("f"), F.lit(1).alias("r")))
+               .unionByName(open_.select(F.lit(0).alias("f"), F.lit(1).alias("r")))
                .agg(F.coalesce(F.sum("f"), F.lit(0)).alias("f"), F.coalesce(F.sum("r"), F.lit(0)).alias("r"))
                .first())
         return int(row["f"]), int(row["r"])

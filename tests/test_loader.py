@@ -140,3 +140,17 @@ def test_master_duplicates_reported(spark):
     df = C.cleanse_customers(raw_customers(spark, CUSTOMERS + [(" C1", "M", "x", "1", "B", "1", "1")]))
     dups = {r.Customer_ID: r.n for r in C.duplicate_keys(df, "Customer_ID").collect()}
     assert dups == {"C1": 2}
+
+
+def test_replay_after_master_arrives_leaves_no_stale_reject(spark, new_wh):
+    # a batch rejected a row; its customer arrives; the batch id is replayed
+    tx = [("O1", "C1", "P1", "1", "2017-01-02"), ("O2", "C5", "P2", "2", "2017-01-02")]
+    wh, loader, rep = _loaded(spark, new_wh, tx)
+    assert (rep.loaded, rep.rejected) == (1, 1)
+    loader.load_masters(raw_customers(spark, [("C5", "F", "46-50", "9", "C", "3", "0")]), None)
+    rep = loader.process_batch(raw_tx(spark, tx), 0)
+    assert (rep.loaded, rep.rejected) == (2, 0)
+    assert sorted(r.orderID for r in wh.read("fact_sales").collect()) == ["O1", "O2"]
+    assert loader.open_rejects().count() == 0
+    rep = loader.process_batch(raw_tx(spark, tx), 0)  # and once more
+    assert (rep.loaded, rep.rejected) == (2, 0)
