@@ -12,7 +12,9 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmart import schemas
 
@@ -23,6 +25,7 @@ DIMENSIONS = {
     "dim_supplier": schemas.DIM_SUPPLIER,
     "dim_date": schemas.DIM_DATE,
 }
+COMPACTED_BATCH_ID = -(1 << 62)  # batch id of rows moved by compaction
 FACT = "fact_sales"
 REJECTS = "rejects"
 RESOLVED = "rejects_resolved"
@@ -106,3 +109,55 @@ class Warehouse:
         self._star = None
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_cols).parquet(self.path(name)))
+
+    # -- maintenance --------------------------------------------------------
+    def compact_facts(self, year_months, upto_batch_id: int) -> str:
+        """Merge the many small per-batch folders of the given (year, month)
+        partitions into one folder per month.
+
+        Rows of batches up to ``upto_batch_id`` (committed, never replayed
+        again) move to ``COMPACTED_BATCH_ID``; rows of later batches keep
+        their id, so a replay of those batches still overwrites only its
+        own rows. The months' rows are first written to a staging table in
+        the shared checkpoint folder (this cuts the lineage, since the
+        table is rewritten where it is read, and keeps a copy to restore
+        from if the rewrite fails). Then one INSERT OVERWRITE with a
+        partial static partition spec replaces exactly those months.
+        Returns the staging path.
+        """
+        from starmart.session import checkpoint_root
+
+        spark = self.spark
+        pairs = sorted({(int(y), int(m)) for y, m in year_months})
+        if not pairs:
+            return ""
+        cond = None
+        for y, m in pairs:
+            c = (F.col("year") == y) & (F.col("month") == m)
+            cond = c if cond is None else cond | c
+        staging = f"{checkpoint_root(spark)}/starmart-compaction/{uuid.uuid4().hex[:12]}"
+        rows = self.read(FACT).filter(cond).withColumn(
+            "batch_id", F.when(F.col("batch_id") <= upto_batch_id, F.lit(COMPACTED_BATCH_ID))
+            .otherwise(F.col("batch_id")))
+        rows.write.parquet(staging)
+        staged = spark.read.schema(SCHEMAS[FACT]).parquet(staging)
+        table = f"starmart_fact_{uuid.uuid4().hex[:12]}"
+        cols = ", ".join(f.name for f in SCHEMAS[FACT].fields if f.name not in ("year", "month", "batch_id"))
+        ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SCHEMAS[FACT].fields)
+        self._star = None
+        mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        spark.sql(f"CREATE TABLE {table} ({ddl}) USING parquet PARTITIONED BY (year, month, batch_id) "
+                  f"LOCATION '{self.path(FACT)}'")
+        try:
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+            for y, m in pairs:
+                view = f"{table}_{y}_{m}"
+                staged.filter((F.col("year") == y) & (F.col("month") == m)).createOrReplaceTempView(view)
+                spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (year={y}, month={m}, batch_id) "
+                          f"SELECT {cols}, batch_id FROM {view}")
+                spark.catalog.dropTempView(view)
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+            spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: the files stay
+        return staging

@@ -154,3 +154,23 @@ def test_replay_after_master_arrives_leaves_no_stale_reject(spark, new_wh):
     assert loader.open_rejects().count() == 0
     rep = loader.process_batch(raw_tx(spark, tx), 0)  # and once more
     assert (rep.loaded, rep.rejected) == (2, 0)
+
+
+def test_compaction_merges_committed_batches_only(spark, new_wh):
+    import glob
+    from starmart.sources.warehouse import COMPACTED_BATCH_ID
+    wh, loader, _ = _loaded(spark, new_wh, [("O1", "C1", "P1", "1", "2017-01-02"), ("O2", "C2", "P2", "1", "2017-02-02")])
+    loader.process_batch(raw_tx(spark, [("O3", "C3", "P3", "2", "2017-01-20")]), 1)
+    b2 = [("O4", "C1", "P2", "3", "2017-01-25")]
+    loader.process_batch(raw_tx(spark, b2), 2)
+    before = sorted(tuple(r) for r in wh.read("fact_sales").drop("batch_id").collect())
+    wh.compact_facts([(2017, 1)], upto_batch_id=1)
+    after = wh.read("fact_sales")
+    assert sorted(tuple(r) for r in after.drop("batch_id").collect()) == before
+    jan = {r.orderID: r.batch_id for r in after.filter("month = 1").collect()}
+    assert jan == {"O1": COMPACTED_BATCH_ID, "O3": COMPACTED_BATCH_ID, "O4": 2}
+    assert {r.batch_id for r in after.filter("month = 2").collect()} == {0}  # untouched month
+    root = wh.path("fact_sales").replace("file:", "")
+    assert len(glob.glob(f"{root}/year=2017/month=1/batch_id=*")) == 2
+    loader.process_batch(raw_tx(spark, b2), 2)  # a later batch can still be replayed
+    assert wh.read("fact_sales").count() == 4
