@@ -4,18 +4,21 @@
 micro-batch of the stream (``foreachBatch``):
 
   1. cleanse (trim ids, parse quantity and date, first failing rule);
-  2. add the batch's new dates to ``dim_date`` (insert-if-absent), so no
-     row is dropped for a date first seen after start-up;
-  3. left-join customer and product once and route every row: facts, or
+  2. left-join customer and product once and route every row: facts, or
      rejects with a reason (nothing is silently skipped, nothing blocks);
-  4. write facts by (year, month, batch_id) and rejects by batch_id with
+  3. write facts by (year, month, batch_id) and rejects by batch_id with
      dynamic partition overwrite: re-running a batch id rewrites the same
-     partitions, so a replay after a failure adds no duplicates.
+     partitions, so a replay after a failure adds no duplicates (and a
+     replay whose rejects have meanwhile all resolved marks the old ones
+     resolved);
+  4. add the dates of the loaded facts to ``dim_date`` (insert-if-absent),
+     so no row is dropped for a date first seen after start-up.
 
 By default nothing is cached: facts and rejects each read the batch's
 input (a micro-batch re-reads only its own files), and new dates are read
 back from the fact files just written. With ``persist=True`` a batch is
-cached once instead (bounded by the trigger limits for a stream).
+cached once instead (bounded by the trigger limits for a stream) and the
+new dates are written before the facts that refer to them.
 """
 
 from __future__ import annotations
