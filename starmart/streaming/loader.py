@@ -66,25 +66,30 @@ class WarehouseLoader:
         writer wins per business key; keys continue after the current max).
 
         Store, supplier and customer do not depend on each other and are
-        submitted as concurrent Spark jobs; product waits for the first two.
+        submitted as concurrent Spark jobs; product waits for store and
+        supplier only, while customer may still be running.
         """
         wh = self.wh
-        jobs = []
         products = None
         if products_raw is not None:
             products = C.cleanse_products(products_raw).persist(StorageLevel.MEMORY_AND_DISK)
-            jobs += [("dim_store", D.store_rows(products), "storeID", "store_key"),
-                     ("dim_supplier", D.supplier_rows(products), "supplierID", "supplier_key")]
-        if customers_raw is not None:
-            jobs.append(("dim_customer", D.customer_rows(C.cleanse_customers(customers_raw)),
-                         "Customer_ID", "customer_key"))
         try:
-            with ThreadPoolExecutor(max_workers=max(len(jobs), 1)) as pool:
-                for f in [pool.submit(self._upsert, *j) for j in jobs]:
-                    f.result()
-            if products is not None:
-                rows = D.product_rows(products, wh.read("dim_store"), wh.read("dim_supplier"))
-                self._upsert("dim_product", rows, "Product_ID", "product_key")
+            with ThreadPoolExecutor(max_workers=3) as pool:
+                customer = None
+                if customers_raw is not None:
+                    customer = pool.submit(self._upsert, "dim_customer",
+                                           D.customer_rows(C.cleanse_customers(customers_raw)),
+                                           "Customer_ID", "customer_key")
+                if products is not None:
+                    parts = [pool.submit(self._upsert, "dim_store", D.store_rows(products), "storeID", "store_key"),
+                             pool.submit(self._upsert, "dim_supplier", D.supplier_rows(products),
+                                         "supplierID", "supplier_key")]
+                    for f in parts:
+                        f.result()
+                    rows = D.product_rows(products, wh.read("dim_store"), wh.read("dim_supplier"))
+                    self._upsert("dim_product", rows, "Product_ID", "product_key")
+                if customer is not None:
+                    customer.result()
         finally:
             if products is not None:
                 products.unpersist()
