@@ -47,17 +47,28 @@ class BatchReport:
 
 
 class WarehouseLoader:
-    def __init__(self, warehouse: Warehouse, persist_batches: bool = False, retry_each_batch: bool = False):
+    def __init__(self, warehouse: Warehouse, persist_batches: bool = False, retry_each_batch: bool = False,
+                 lookup_partitions: int | None = None):
         """``persist_batches`` caches each micro-batch for its outputs; by
         default a batch re-reads its own (already landed) files instead,
         which measured faster than building the cache. ``retry_each_batch``
         re-runs the lookups of open rejects after every micro-batch (rows
         wait in quarantine until their master row arrives); retries use
         negative batch ids, -(batch_id + 1), so they never collide with the
-        stream's own ids and a replayed batch repeats the same retry."""
+        stream's own ids and a replayed batch repeats the same retry.
+
+        ``lookup_partitions`` keeps the lookup columns of the customer and
+        product dimensions (business key, surrogate key, price) persisted and
+        hash-partitioned by business key across micro-batches: when a
+        dimension is too large to broadcast, each batch then shuffles only
+        its own rows for the join, instead of re-reading and re-shuffling
+        the whole dimension every batch. The copies are rebuilt after every
+        master load."""
         self.wh = warehouse
         self.persist_batches = persist_batches
         self.retry_each_batch = retry_each_batch
+        self.lookup_partitions = lookup_partitions
+        self._lookups: dict[str, DataFrame] = {}
         self.reports: list[BatchReport] = []
 
     # -- master data -------------------------------------------------------
@@ -70,6 +81,7 @@ class WarehouseLoader:
         supplier only, while customer may still be running.
         """
         wh = self.wh
+        self._drop_lookups()
         products = None
         if products_raw is not None:
             products = C.cleanse_products(products_raw).persist(StorageLevel.MEMORY_AND_DISK)
@@ -93,6 +105,7 @@ class WarehouseLoader:
         finally:
             if products is not None:
                 products.unpersist()
+            self._drop_lookups()  # a batch may have cached them meanwhile
 
     def _upsert(self, name: str, rows: DataFrame, business_key: str, key_col: str) -> None:
         cached: list = []
@@ -124,7 +137,7 @@ class WarehouseLoader:
             t = t.persist(StorageLevel.MEMORY_AND_DISK)
             cached.append(t)
         try:
-            enriched = enrich(t, wh.read("dim_customer"), wh.read("dim_product"))
+            enriched = enrich(t, self._lookup("dim_customer"), self._lookup("dim_product"))
             if persist:
                 enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
                 cached.append(enriched)
@@ -174,7 +187,7 @@ class WarehouseLoader:
         resolved = wh.read(RESOLVED).filter(F.col("resolved_in") != retry_batch_id)
         open_ = retryable(wh.read(REJECTS), resolved)
         t = C.cleanse_transactions(open_)
-        fixed = (enrich(t, wh.read("dim_customer"), wh.read("dim_product"))
+        fixed = (enrich(t, self._lookup("dim_customer"), self._lookup("dim_product"))
                  .filter(F.col("reject_reason").isNull())
                  .checkpoint(eager=True))  # cut lineage: we write where we read
         wh.append("dim_date", D.new_dates(fixed, wh.read("dim_date")))
@@ -184,6 +197,30 @@ class WarehouseLoader:
         self.reports.append(report)
         return report
 
+    _LOOKUP_COLS = {"dim_customer": ("Customer_ID", ["Customer_ID", "customer_key"]),
+                    "dim_product": ("Product_ID", ["Product_ID", "product_key", "price"])}
+
+    def _lookup(self, name: str) -> DataFrame:
+        key, cols = self._LOOKUP_COLS[name]
+        if not self.lookup_partitions:
+            return self.wh.read(name).select(*cols)
+        df = self._lookups.get(name)
+        if df is None:
+            # the join keeps an existing partitioning only if it has at least
+            # as many partitions as a new shuffle would (spark.sql.shuffle.partitions)
+            n = max(int(self.lookup_partitions),
+                    int(self.wh.spark.conf.get("spark.sql.shuffle.partitions")))
+            df = (self.wh.read(name).select(*cols).repartition(n, key)
+                  .persist(StorageLevel.MEMORY_AND_DISK))
+            df.count()  # build it now: a join planned on a built cache keeps its partitioning
+            self._lookups[name] = df
+        return df
+
+    def _drop_lookups(self) -> None:
+        for df in self._lookups.values():
+            df.unpersist()
+        self._lookups.clear()
+
     def _rejects_of(self, batch_id: int) -> DataFrame:
         return self.wh.read(REJECTS).filter(F.col("batch_id") == batch_id)
 

@@ -174,3 +174,40 @@ def test_compaction_merges_committed_batches_only(spark, new_wh):
     assert len(glob.glob(f"{root}/year=2017/month=1/batch_id=*")) == 2
     loader.process_batch(raw_tx(spark, b2), 2)  # a later batch can still be replayed
     assert wh.read("fact_sales").count() == 4
+
+
+def test_partitioned_lookups_shuffle_only_the_batch(spark, new_wh):
+    from starmart.operators.enrich import enrich
+    wh = new_wh()
+    loader = WarehouseLoader(wh, lookup_partitions=4)
+    loader.load_masters(raw_customers(spark, CUSTOMERS), raw_products(spark, PRODUCTS))
+    t = C.cleanse_transactions(raw_tx(spark, [("O1", "C1", "P1", "1", "2017-01-02")])
+                               .withColumn("row_id", F.lit(0).cast("long")))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")  # as if the dimensions were too large to broadcast
+        e = enrich(t, loader._lookup("dim_customer"), loader._lookup("dim_product"))
+        plan = e._jdf.queryExecution().executedPlan().toString()
+        # the join's exchanges carry only the batch's rows (ENSURE_REQUIREMENTS);
+        # the lookups are read from the cache in their own partitioning (the
+        # REPARTITION_BY_NUM exchanges printed inside them are the one-time build)
+        join_exchanges = [ln.strip() for ln in plan.splitlines()
+                          if "Exchange hashpartitioning" in ln and "ENSURE_REQUIREMENTS" in ln]
+        assert len(join_exchanges) == 2
+        assert any("(Customer_ID" in x for x in join_exchanges) and any("(Product_ID" in x for x in join_exchanges)
+        assert plan.count("InMemoryTableScan") == 2
+        assert e.filter("reject_reason is null").count() == 1
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    rep = loader.process_batch(raw_tx(spark, [("O2", "C2", "P2", "1", "2017-01-03")]), 1)
+    assert (rep.loaded, rep.rejected) == (1, 0)
+    loader.load_masters(raw_customers(spark, [("C6", "F", "x", "1", "A", "1", "0")]), None)
+    assert not loader._lookups  # rebuilt after a master load
+    rep = loader.process_batch(raw_tx(spark, [("O3", "C6", "P2", "1", "2017-01-03")]), 2)
+    assert (rep.loaded, rep.rejected) == (1, 0)
