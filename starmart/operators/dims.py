@@ -29,7 +29,7 @@ def first_per_key(df: DataFrame, key: str, order_col: str, cols: list[str]) -> D
 
 def insert_if_absent(incoming: DataFrame, existing: DataFrame | None, business_key: str,
                      key_col: str | None = None, order_col: str | None = None,
-                     cached: list | None = None) -> DataFrame:
+                     staging: str | None = None) -> DataFrame:
     """Rows of ``incoming`` whose business key is not yet in ``existing``,
     deduplicated (first by ``order_col``) and, with ``key_col``, numbered
     after the current maximum key. The caller appends the result."""
@@ -43,7 +43,7 @@ def insert_if_absent(incoming: DataFrame, existing: DataFrame | None, business_k
     if key_col is None:
         return incoming
     keyed = assign_surrogate_keys(incoming, business_key, key_col, next_key_start(existing, key_col),
-                                  cached=cached)
+                                  staging=staging)
     return keyed.select(key_col, business_key, *cols)
 
 

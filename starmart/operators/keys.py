@@ -11,17 +11,15 @@ partition, so bounded by the partition count, not by the data) are summed
 in one place and broadcast back.
 
 Partition ids and positions must not change between counting and
-numbering. Two ways are offered: with ``cached`` (a list the caller empties
-with ``unpersist`` after writing) the ranged rows are persisted and both
-uses read the one cached plan, whose range partitioner is fixed, so a
-partition recomputed after an executor loss receives the same rows, sorted
-by the same unique key: the same positions. Without it, the ranged rows are
-checkpointed to the shared checkpoint folder (more jobs, no cache to manage).
+numbering, so the ranged rows are materialized once with the partition id
+and position stored as columns: by default written as a staging table to
+``staging`` (a folder in the shared checkpoint folder), which lets AQE
+coalesce the small range partitions of a small dimension and survives the
+loss of any executor; without a staging folder they are checkpointed there.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starmart.session import checkpoint_root
@@ -31,21 +29,22 @@ _ROW_BITS = 33
 
 def assign_surrogate_keys(df: DataFrame, business_key: str, key_col: str,
                           start: Column | int = 0, num_partitions: int | None = None,
-                          cached: list | None = None) -> DataFrame:
+                          staging: str | None = None) -> DataFrame:
     """Add ``key_col`` = start + 1, start + 2, ... in ``business_key`` order.
 
     ``df`` must hold each business key once (see ``dims.first_per_key``).
     """
+    spark = df.sparkSession
     ranged = (df.repartitionByRange(num_partitions, business_key) if num_partitions
               else df.repartitionByRange(business_key))
     ranged = (ranged.sortWithinPartitions(business_key)
               .withColumn("_part", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
-    if cached is not None:
-        ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(ranged)
+    if staging is not None:
+        ranged.write.mode("overwrite").parquet(staging)
+        ranged = spark.read.parquet(staging)
     else:
-        checkpoint_root(df.sparkSession)  # make sure a checkpoint folder is set
+        checkpoint_root(spark)  # make sure a checkpoint folder is set
         ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a single-task window here is bounded by the

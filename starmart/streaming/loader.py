@@ -23,6 +23,7 @@ new dates are written before the facts that refer to them.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -32,6 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 from starmart.operators import cleanse as C
 from starmart.operators import dims as D
 from starmart.operators.enrich import enrich, facts, rejects, retryable
+from starmart.session import checkpoint_root
 from starmart.sources.warehouse import FACT, REJECTS, RESOLVED, Warehouse
 
 
@@ -108,14 +110,10 @@ class WarehouseLoader:
             self._drop_lookups()  # a batch may have cached them meanwhile
 
     def _upsert(self, name: str, rows: DataFrame, business_key: str, key_col: str) -> None:
-        cached: list = []
-        try:
-            new = D.insert_if_absent(rows, self.wh.read(name), business_key, key_col, "_load_order",
-                                     cached=cached)
-            self.wh.append(name, new)
-        finally:
-            for df in cached:
-                df.unpersist()
+        staging = f"{checkpoint_root(self.wh.spark)}/starmart-keys/{name}-{uuid.uuid4().hex[:12]}"
+        new = D.insert_if_absent(rows, self.wh.read(name), business_key, key_col, "_load_order",
+                                 staging=staging)
+        self.wh.append(name, new)
 
     # -- transactions --------------------------------------------------------
     def process_batch(self, raw: DataFrame, batch_id: int, persist: bool = False) -> BatchReport:

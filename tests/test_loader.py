@@ -9,14 +9,12 @@ from starmart.streaming.loader import WarehouseLoader
 from tests.conftest import CUSTOMERS, PRODUCTS, raw_customers, raw_products, raw_tx
 
 
-def test_surrogate_keys_dense_in_business_order(spark):
+def test_surrogate_keys_dense_in_business_order(spark, tmpdir_path):
     df = spark.createDataFrame([(f"K{i:05d}",) for i in range(997)], "k string").repartition(7)
-    for cached in (None, []):
-        keyed = assign_surrogate_keys(df, "k", "key", start=10, num_partitions=5, cached=cached)
+    for staging in (None, f"{tmpdir_path}/staging"):
+        keyed = assign_surrogate_keys(df, "k", "key", start=10, num_partitions=5, staging=staging)
         rows = sorted(keyed.collect(), key=lambda r: r.k)
         assert [r.key for r in rows] == list(range(11, 11 + 997))
-        for c in cached or []:
-            c.unpersist()
 
 
 def test_insert_if_absent_first_writer_wins(spark):
