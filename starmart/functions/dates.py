@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Fixed values that must equal the reference's date dimension:
-# seasons by calendar month, and the custom season sort order.
+# Fixed values that must equal the reference's date dimension and reports:
+# seasons by calendar month, the custom season sort order, and day types.
 SEASON_MONTHS = {
     "Spring": (3, 4, 5),
     "Summer": (6, 7, 8),

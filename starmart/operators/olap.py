@@ -151,7 +151,7 @@ def slice_dice(df: DataFrame, predicates: dict) -> DataFrame:
 def flag_spikes(daily: DataFrame, entity, measure: str, factor: float = 2.0,
                 keep_normal: bool = False, avg_col: str = "avg_daily_sales",
                 ratio_col: str = "sales_ratio", flag_col: str = "sales_flag",
-                spike_label: str = "OUTLIER - High Spike", normal_label: str = "Normal") -> DataFrame:
+                spike_label: str = "spike", normal_label: str = "normal") -> DataFrame:
     """Flag rows whose ``measure`` exceeds ``factor`` x the entity's average.
 
     The average is a window over the entity (exact decimal sum / count of

@@ -34,6 +34,14 @@ from starmart.operators import olap
 from starmart.sources.warehouse import Star
 
 DEFAULT_YEAR = 2017
+
+# Fixed values that must equal the reference's report output: the spike
+# flags and the roll-up total labels.
+SPIKE_LABEL = "OUTLIER - High Spike"
+NORMAL_LABEL = "Normal"
+ALL_STORES = "ALL STORES"
+ALL_SUPPLIERS = "ALL SUPPLIERS"
+ALL_PRODUCTS = "ALL PRODUCTS"
 _STAGED: list[DataFrame] = []
 _STAGED_LOCK = threading.Lock()
 
@@ -317,8 +325,8 @@ def q17_rollup(star: Star) -> DataFrame:
            .join(_product_names(star).select("product_key", "Product_ID", "storeName", "supplierName"),
                  "product_key"))
     rolled = olap.rollup_labelled(
-        per, [("year", None), ("storeName", "ALL STORES"), ("supplierName", "ALL SUPPLIERS"),
-              ("Product_ID", "ALL PRODUCTS")],
+        per, [("year", None), ("storeName", ALL_STORES), ("supplierName", ALL_SUPPLIERS),
+              ("Product_ID", ALL_PRODUCTS)],
         [F.sum("_rev").alias("_rev")])
     # sort outside the roll-up (a ROLLUP cannot sort on ungrouped columns)
     return (rolled.orderBy(F.col("year").asc_nulls_last(), "grouping_level", "storeName", "supplierName", "Product_ID")
@@ -360,7 +368,8 @@ def _spike_output(df: DataFrame) -> DataFrame:
 
 
 def q19_spikes(star: Star, factor: float = 2.0) -> DataFrame:
-    return _spike_output(olap.flag_spikes(daily_product_sales(star), "Product_ID", "daily_sales", factor))
+    return _spike_output(olap.flag_spikes(daily_product_sales(star), "Product_ID", "daily_sales", factor,
+                                          spike_label=SPIKE_LABEL, normal_label=NORMAL_LABEL))
 
 
 def q19b_spikes_staged(star: Star, factor: float = 2.0) -> DataFrame:
@@ -383,7 +392,7 @@ def q19b_spikes_staged(star: Star, factor: float = 2.0) -> DataFrame:
                pa.avg_daily_sales,
                ROUND(CAST(dps.daily_sales AS DOUBLE) / NULLIF(pa.avg_daily_sales, 0), 2) AS sales_ratio,
                CASE WHEN dps.daily_sales > {float(factor)} * pa.avg_daily_sales
-                    THEN 'OUTLIER - High Spike' ELSE 'Normal' END AS sales_flag
+                    THEN '{SPIKE_LABEL}' ELSE '{NORMAL_LABEL}' END AS sales_flag
         FROM daily_product_sales_{tag} dps
         JOIN product_averages_{tag} pa ON dps.Product_ID = pa.Product_ID
         WHERE dps.daily_sales > {float(factor)} * pa.avg_daily_sales""")

@@ -54,7 +54,7 @@ def test_flag_spikes_exactly_twice_is_not_a_spike(spark):
     assert [(r.p, r.d) for r in spikes] == [("q", 4)]
     assert spikes[0].avg_daily_sales == 2.0 and spikes[0].sales_ratio == 2.5
     both = olap.flag_spikes(df, "p", "v", keep_normal=True)
-    assert both.filter("p = 'p' and d = 3").first().sales_flag == "Normal"
+    assert both.filter("p = 'p' and d = 3").first().sales_flag == "normal"
 
 
 def _pairs_brute(lines):
