@@ -9,6 +9,9 @@ operators/  DataFrame operators: cleansing and rejects, surrogate keys,
             dimension upserts, enrichment joins, OLAP helpers
 plans/      the business reports, diagnostics, views and their SQL oracles
 streaming/  the Structured Streaming loader (foreachBatch, replay-safe)
+
+``python -m starmart`` runs the same steps from a shell: load, report,
+retry, compact.
 """
 
 from starmart.session import get_spark, checkpoint_root
