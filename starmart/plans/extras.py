@@ -48,35 +48,41 @@ def fact_enriched(star: Star) -> DataFrame:
                     to_double("total_amount").alias("total_amount"), "storeName", "supplierName"))
 
 
-def sales_cube_view(star: Star) -> DataFrame:
-    """Fact rows with the attributes slice / dice / drill work on. Filters on
-    it are pushed by Catalyst to the table they come from (a year slice
-    reaches the fact's partition column)."""
-    return (star.fact.select("customer_key", "product_key", "date_key", "year", "month",
-                             "quantity", "total_amount")
-            .join(star.customer.select("customer_key", "Gender", "Age", "City_Category"), "customer_key")
-            .join(star.product.select("product_key", "Product_Category"), "product_key")
-            .join(star.date.select("date_key", "quarter", "full_date", "is_weekend"), "date_key")
-            .withColumn("day_type", day_type("is_weekend")))
+def sales_cube_view(star: Star, dims=("customer", "product", "date")) -> DataFrame:
+    """Fact rows with the attributes slice / dice / drill work on, joined only
+    to the dimensions asked for (Spark cannot drop an unused inner join, so
+    a query that needs no customer attribute must not join customers).
+    Filters on the view are pushed by Catalyst to the table they come from
+    (a year slice reaches the fact's partition column)."""
+    cube = star.fact.select("customer_key", "product_key", "date_key", "year", "month", "quantity", "total_amount")
+    if "customer" in dims:
+        cube = cube.join(star.customer.select("customer_key", "Gender", "Age", "City_Category"), "customer_key")
+    if "product" in dims:
+        cube = cube.join(star.product.select("product_key", "Product_Category"), "product_key")
+    if "date" in dims:
+        cube = (cube.join(star.date.select("date_key", "quarter", "full_date", "is_weekend"), "date_key")
+                .withColumn("day_type", day_type("is_weekend")))
+    return cube
 
 
 # -- OLAP helpers (P11, G14, G15, G6/G12) ------------------------------------------
 def slice_dice_report(star: Star, year: int = 2017, cities=("AMERICA", "ASIA"), gender: str = "F") -> DataFrame:
-    cube = olap.slice_dice(sales_cube_view(star), {"year": year, "City_Category": list(cities), "Gender": gender})
+    cube = olap.slice_dice(sales_cube_view(star, ("customer", "product")),
+                           {"year": year, "City_Category": list(cities), "Gender": gender})
     return (cube.groupBy("Product_Category", "City_Category")
             .agg(F.sum("total_amount").alias("_rev"), F.count(F.lit(1)).alias("transaction_count"))
             .select("Product_Category", "City_Category", to_double("_rev").alias("revenue"), "transaction_count"))
 
 
 def drill_month(star: Star) -> DataFrame:
-    out = olap.drill(sales_cube_view(star), "month",
+    out = olap.drill(sales_cube_view(star, ("date",)), "month",
                      [F.sum("total_amount").alias("_rev"), F.sum("quantity").alias("_qty")])
     return out.select("year", "quarter", "month", to_double("_rev").alias("revenue"),
                       F.col("_qty").cast("long").alias("quantity"))
 
 
 def pivot_quarter(star: Star, year: int = 2017) -> DataFrame:
-    cube = sales_cube_view(star).filter(F.col("year") == year)
+    cube = sales_cube_view(star, ("product", "date")).filter(F.col("year") == year)
     p = olap.pivot(cube, "Product_Category", "quarter", [1, 2, 3, 4], F.col("total_amount"), prefix="Q")
     return p.select("Product_Category", *[to_double(f"Q{q}").alias(f"Q{q}") for q in (1, 2, 3, 4)])
 
