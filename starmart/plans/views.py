@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmart.plans.reports import store_quarterly_sales
+from starmart.session import checkpoint_root
 from starmart.sources.warehouse import Star, Warehouse
 
 ROLLUP = "store_quarterly_sales"
@@ -48,6 +49,7 @@ def refresh_rollup(wh: Warehouse, batch_ids) -> None:
             .join(touched.withColumnRenamed("quarter", "_q"), ["year", "_q"], "left_semi").drop("_q"))
     part = Star(fact=fact, customer=star.customer, product=star.product, store=star.store,
                 supplier=star.supplier, date=star.date)
+    checkpoint_root(wh.spark)  # the shared folder the checkpoint writes to
     df = store_quarterly_sales(part).checkpoint(eager=True)  # cut lineage: writes where it reads
     wh.overwrite_partitions(ROLLUP, df, "year", "quarter")
 

@@ -185,6 +185,7 @@ class WarehouseLoader:
         resolved = wh.read(RESOLVED).filter(F.col("resolved_in") != retry_batch_id)
         open_ = retryable(wh.read(REJECTS), resolved)
         t = C.cleanse_transactions(open_)
+        checkpoint_root(wh.spark)  # the shared folder the checkpoint below writes to
         fixed = (enrich(t, self._lookup("dim_customer"), self._lookup("dim_product"))
                  .filter(F.col("reject_reason").isNull())
                  .checkpoint(eager=True))  # cut lineage: we write where we read
