@@ -71,6 +71,7 @@ class WarehouseLoader:
         self.retry_each_batch = retry_each_batch
         self.lookup_partitions = lookup_partitions
         self._lookups: dict[str, DataFrame] = {}
+        self._last_batch: int | None = None
         self.reports: list[BatchReport] = []
 
     # -- master data -------------------------------------------------------
@@ -143,8 +144,11 @@ class WarehouseLoader:
                 wh.append("dim_date", D.new_dates(loading, wh.read("dim_date")))
             f = facts(enriched, batch_id)
             r = rejects(enriched, batch_id)
-            # a replay of this batch id finds its reject partition written
-            replay = self._rejects_of(batch_id).limit(1).count() > 0
+            # A replay of this batch id finds its reject partition written. The
+            # batch right after the one this loader just finished is always new
+            # (a batch starts only after its predecessor committed): no check.
+            follows = self._last_batch is not None and batch_id == self._last_batch + 1
+            replay = not follows and self._rejects_of(batch_id).limit(1).count() > 0
             # AQE rebalances by (year, month): it coalesces small months and
             # splits large ones, so each output file has a sensible size and a
             # task writes few folders, sequentially (sorted by date inside).
@@ -161,6 +165,7 @@ class WarehouseLoader:
                 # loaded this time: mark them resolved by this batch.
                 self._mark_resolved(self._rejects_of(batch_id).select("batch_id", "row_id"), batch_id)
             report = BatchReport(batch_id, *self._written_counts(batch_id))
+            self._last_batch = batch_id
         finally:
             for df in cached:
                 df.unpersist()
