@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .jaccard_join import op9_jaccard_join
 from .orc_tokens import op5_orc_tokens
 from .packing import op7_best_fit_packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_orc_tokens": op5_orc_tokens,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 
 SQL: dict[str, str] = {}
