@@ -10,8 +10,8 @@ overlap of a pair of documents is counted per fragment and summed over them.
    a class and go on as one (the check value finds clashing class keys; the pass
    is then repeated with another seed).
 2. Two sets of Jaccard similarity t share a shingle among the first
-   n - ceil(t n) + 1 of the order. These prefixes are dealt by shingle; a shingle
-   of one class only is dropped. Common passages come last in the order, so they
+   n - ceil(t n) + 1 of the order. These prefixes are dealt by shingle; a class
+   stays on a shingle's list only if another one on it has a fitting size and position. Common passages come last in the order, so they
    are in no prefix of a text that has something of its own.
 3. Lists of one shingle are not expanded into all pairs: every member is first
    paired with three leaders of its list. Pairs that length and position leave
@@ -208,12 +208,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         counts[r["bucket"]] = r["count"]
     order = Order.of(counts, fragments)
 
-    of_shingle = Window.partitionBy("shingle")
-    leader = [F.min(F.struct(F.xxhash64("class", F.lit(i)), "class", "place")).over(of_shingle).alias(f"l{i}") for i in range(LEADERS)]
+    # In order of size, a member's partners before it are those whose largest possible
+    # partner reaches it; it keeps its place if one before or the next one can link.
+    by_size = Window.partitionBy("shingle").orderBy("n", "class")
+    reach = F.floor((100 + percent) * (F.col("n") - _p("place")) / percent) - F.col("n")
     lists = staged(
         texts.select("text").mapInArrow(prefix_rows(words, percent, seed, order), "shingle long, class long, place long")
         .repartition("shingle").dropDuplicates(["shingle", "class"])
-        .select("shingle", "class", "place", F.count("*").over(of_shingle).alias("n_list"), *leader).where("n_list > 1"), "jaccard-lists")
+        .withColumn("n", _n("place")).withColumn("reach", reach)
+        .withColumn("reached", F.max("reach").over(by_size.rowsBetween(Window.unboundedPreceding, -1)))
+        .withColumn("next_n", F.lead("n").over(by_size))
+        .where("reached >= n or next_n <= reach").select("shingle", "class", "place"), "jaccard-lists")
 
     # one text per class that shares a prefix shingle with another class
     chosen = (rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
@@ -222,8 +227,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         texts.join(chosen, "doc_id").dropDuplicates(["class"]).select("text", "class")
         .mapInArrow(segment_rows(words, seed, order), "class long, fragment int, segment array<long>"), "jaccard-segments")
 
+    of_shingle = Window.partitionBy("shingle")
+    leader = [F.min(F.struct(F.xxhash64("class", F.lit(i)).alias("h"), "class", "place")).over(of_shingle).alias(f"l{i}") for i in range(LEADERS)]
     stars = _pairs(
-        lists.select(F.col("class").alias("a"), F.col("place").alias("place_a"), F.explode(F.array(*[f"l{i}" for i in range(LEADERS)])).alias("l"))
+        lists.select("class", "place", *leader).select(F.col("class").alias("a"), F.col("place").alias("place_a"), F.explode(F.array(*[f"l{i}" for i in range(LEADERS)])).alias("l"))
         .select("a", "place_a", F.col("l.class").alias("b"), F.col("l.place").alias("place_b")).where("a != b"), percent)
     stars = staged(stars, "jaccard-stars")
     first = connected_components(_links(stars, segments, percent))
