@@ -12,21 +12,18 @@ at the certain ones. The result equals ``Tokenizer.encode`` on the whole text
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Distinct pieces a worker keeps between blocks (about 200 bytes each).
-CACHE_PIECES = 500_000
+#: Distinct pieces a worker keeps between blocks (about 60 bytes each).
+CACHE_PIECES = 1_500_000
 #: Longer pieces are not kept between blocks.
 CACHE_PIECE_CHARS = 48
 #: Bytes of text handled at once in a worker (a longer text is a block by itself).
-BLOCK_BYTES = 6_000_000
-#: A space that certainly starts a new piece.
-SURE_BORDER = re.compile(r" (?=[!-~]|[^\W\d_])")
+BLOCK_BYTES = 8_000_000
 
 
 def default_path() -> str:
@@ -35,13 +32,9 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _sure(piece: str) -> bool:
-    """Is the border before " " + piece certain to be one of the tokenizer's?"""
-    return "!" <= piece[:1] <= "~" or SURE_BORDER.match(" " + piece) is not None
-
-
 class PieceEncoder:
-    """Arrays of texts to ids."""
+    """Arrays of texts to ids. Known pieces are an Arrow array; the ids of piece i
+    are ``pool[starts[i] : starts[i] + sizes[i]]`` and hold the blank before it."""
 
     def __init__(self, path: str, cache_pieces: int = CACHE_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -51,104 +44,106 @@ class PieceEncoder:
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.blank_first = np.array([(self.tokenizer.id_to_token(i) or "").startswith(("Ġ", " ")) for i in range(size)])
         #: a mark that ends a piece, after a letter, is always tokens of its own
-        self.marks = dict(zip(".,", self._raw(list(".,"))))
-        self.cache: dict[str, bytes | None] = {}
-        self.again: set[str] = set()
+        self.marks = {m: self._each([m])[0] for m in ".,"}
         self.cache_pieces = cache_pieces
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.large_string())
+        self.pool, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _raw(self, texts: list[str]) -> Iterator[bytes]:
-        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array(e.ids, "<u4").tobytes()
+    def _each(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _joined(self, pieces: list[str]) -> None:
-        """Encode pieces without blanks in one run; a token that starts with a
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and sizes of pieces, encoded in one run: a token that starts with a
         blank starts a piece."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(pieces)], add_special_tokens=False)[0].ids, np.uint32)
         at = np.flatnonzero(self.blank_first[ids])
         if len(at) == len(pieces):
-            raw, cuts = ids.tobytes(), [*(at * 4).tolist(), len(ids) * 4]
-            self.cache.update(zip(pieces, [raw[i:j] for i, j in zip(cuts, cuts[1:])]))
-        else:
-            self.cache.update(zip(pieces, self._raw([" " + p for p in pieces])))
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces into the cache; None marks an unsure border."""
-        cache, marks = self.cache, self.marks
-        plain, marked = set(), []
-        for p in pieces:
-            if not _sure(p):
-                cache[p] = None
-            elif p[-1] in marks and p[-2:-1].isalpha():
-                marked.append(p)
-                if p[:-1] not in cache:
-                    plain.add(p[:-1])
-            else:
-                plain.add(p)
-        todo = [p for p in plain if " " not in p]
-        for i in range(0, len(todo), 2000):
-            self._joined(todo[i : i + 2000])
-        other = [p for p in plain if " " in p]
-        cache.update(zip(other, self._raw([" " + p for p in other])))
-        for p in marked:
-            cache[p] = cache[p[:-1]] + marks[p[-1]]
-
-    def _lookup(self, pieces: list[str]) -> list[bytes | None]:
-        cache = self.cache
-        new = [p for p in pieces if p not in cache]
-        if len(new) < len(pieces):
-            self.again.update(set(pieces).difference(new))
-        self._learn(new)
-        out = list(map(self.cache.__getitem__, pieces))
-        for p in new:
-            if len(p) > CACHE_PIECE_CHARS:
-                cache.pop(p, None)
-        return out
-
-    def _unsure(self, text: str) -> bytes:
-        parts = SURE_BORDER.split(text)
-        return next(self._raw(parts[:1])) + b"".join(self._lookup(parts[1:]))
+            return ids, np.diff(np.append(at, len(ids)))
+        each = self._each([" " + p for p in pieces])
+        return np.concatenate(each), np.array([len(x) for x in each])
+
+    def _add(self, pieces: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.known = pa.concat_arrays([self.known, pieces])
+        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
+        self.pool = np.concatenate([self.pool, ids])
+        self.sizes = np.concatenate([self.sizes, sizes])
+
+    def _gather(self, at: np.ndarray) -> np.ndarray:
+        n = self.sizes[at]
+        ends = np.cumsum(n)
+        return self.pool[np.repeat(self.starts[at] - ends + n, n) + np.arange(int(n.sum()))]
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Places in the known pieces of distinct words that start at a sure border;
+        new ones are encoded and added."""
+        marked = pc.match_substring_regex(words, r"\p{L}[.,]$")
+        ended = np.flatnonzero(marked.to_numpy(zero_copy_only=False))
+        base = pc.utf8_slice_codeunits(words.filter(marked), 0, -1)
+        every = pc.unique(pa.concat_arrays([words, base]))  # the words come first
+        at = pc.fill_null(pc.index_in(every, value_set=self.known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        base = pc.index_in(base, value_set=every).to_numpy(zero_copy_only=False).astype(np.int64)
+        by_base = at < 0
+        new = by_base.copy()
+        new[ended] = False
+        new[base] |= at[base] < 0
+        by_base &= ~new
+        fresh = every.filter(pa.array(new))
+        pieces = fresh.to_pylist()
+        found = [self._joined(pieces[i : i + 2000]) for i in range(0, len(pieces), 2000)]
+        if found:
+            at[new] = len(self.known) + np.arange(len(pieces))
+            self._add(fresh, np.concatenate([x for x, _ in found]), np.concatenate([n for _, n in found]))
+        lasts = pc.utf8_slice_codeunits(words.filter(marked), -1)
+        for mark, tail in self.marks.items():
+            has = by_base[ended] & pc.equal(lasts, mark).to_numpy(zero_copy_only=False)
+            which, stem = ended[has], at[base[has]]
+            if len(which):
+                sizes = self.sizes[stem]
+                ids = np.insert(self._gather(stem), np.repeat(np.cumsum(sizes), len(tail)), np.tile(tail, len(stem)))
+                at[which] = len(self.known) + np.arange(len(which))
+                self._add(words.take(pa.array(which)), ids, sizes + len(tail))
+        return at[: len(words)]
 
     def _block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.cache) > self.cache_pieces:  # keep what came back in a later block
-            if len(self.again) > self.cache_pieces // 2:
-                self.again = set()
-            self.cache = {p: self.cache[p] for p in self.again if p in self.cache}
+        if len(self.known) > self.cache_pieces:
+            self._forget()
         parts = pc.split_pattern(texts, " ")
         flat = parts.flatten()
         first = parts.offsets.to_numpy()
         first = first - first[0]
         coded = flat.dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        table = self._lookup(coded.dictionary.to_pylist())
-        unsure = np.fromiter((x is None for x in table), bool, len(table))
-        table = [x or b"" for x in table]
-        # a text's first piece has no blank before it
-        heads = flat.take(pa.array(first[:-1])).to_pylist()
-        odd: dict[int, int] = {}
-        if unsure.any():
-            flags = unsure[codes]
-            flags[first[:-1]] = False
-            for d in np.unique(np.searchsorted(first, np.flatnonzero(flags), "right") - 1).tolist():
-                odd[d] = len(table)
-                table.append(self._unsure(texts[d].as_py()))
-        codes[first[:-1]] = len(table) + np.arange(len(heads))
-        table.extend(self._raw(heads))
-        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
-        pool = np.frombuffer(b"".join(table), "<u4")
-        starts = np.cumsum(sizes) - sizes
-        if odd:  # such a text is one piece
-            keep = np.ones(len(codes), bool)
-            for d, k in odd.items():
-                keep[first[d] : first[d + 1]] = False
-                keep[first[d]] = True
-                codes[first[d]] = k
-            lost = np.concatenate([[0], np.cumsum(~keep)])
-            first = first - lost[first]
-            codes = codes[keep]
-        n = sizes[codes]
-        ends = np.cumsum(n)
-        ids = pool[np.repeat((starts[codes] - ends + n).astype(np.int32), n) + np.arange(int(n.sum()), dtype=np.int32)]
-        return ids, np.concatenate([[0], ends])[first]
+        words = coded.dictionary
+        sure = pc.match_substring_regex(words, r"^[!-~\p{L}]")
+        place = np.full(len(words), -1)
+        place[sure.to_numpy(zero_copy_only=False)] = self._places(words.filter(sure))
+        codes = place[codes]
+        # a text's first piece has no blank before it; a text with an unsure border goes whole
+        codes[first[:-1]] = 0
+        whole = np.unique(np.searchsorted(first, np.flatnonzero(codes < 0), "right") - 1)
+        alone = flat.take(pa.array(first[:-1])).to_pylist()
+        for d in whole.tolist():
+            alone[d] = texts[d].as_py()
+            codes[first[d] : first[d + 1]] = -1
+        codes[first[:-1]] = -1
+        rest = codes >= 0
+        ids = self._gather(codes[rest])
+        sizes = np.zeros(len(codes), np.int64)
+        sizes[rest] = self.sizes[codes[rest]]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[first]
+        heads = self._each(alone)
+        n_heads = np.array([len(x) for x in heads])
+        ids = np.insert(ids, np.repeat(ends[:-1], n_heads), np.concatenate(heads))
+        long = pc.greater(pc.utf8_length(self.known), CACHE_PIECE_CHARS)
+        if pc.any(long).as_py():
+            keep = np.flatnonzero(~long.to_numpy(zero_copy_only=False))
+            self.pool, self.known = self._gather(keep), self.known.take(pa.array(keep))
+            self.sizes = self.sizes[keep]
+            self.starts = np.cumsum(self.sizes) - self.sizes
+        return ids, ends + np.concatenate([[0], np.cumsum(n_heads)])
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Blocks of consecutive texts (null counts as empty): the place of the
