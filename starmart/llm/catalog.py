@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontam import op8_benchmark_decontamination
 from .jaccard_join import op9_jaccard_join
 from .orc_tokens import op5_orc_tokens
 from .packing import op7_best_fit_packing
+from .secrets import op10_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_orc_tokens": op5_orc_tokens,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 SQL: dict[str, str] = {}
