@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontam import op8_benchmark_decontamination
 from .jaccard_join import op9_jaccard_join
+from .language_id import op1_language_id
+from .license_scan import op4_license_scan, op4_sql
 from .orc_tokens import op5_orc_tokens
 from .packing import op7_best_fit_packing
 from .secrets import op10_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op4_license_scan": op4_license_scan,
     "op5_orc_tokens": op5_orc_tokens,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
@@ -20,4 +24,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scan": op10_secret_scan,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_license_scan": op4_sql(),
+}
