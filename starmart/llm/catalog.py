@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .ann import op3_learned_partitions
 from .decontam import op8_benchmark_decontamination
 from .jaccard_join import op9_jaccard_join
 from .language_id import op1_language_id
@@ -13,11 +14,14 @@ from .license_scan import op4_license_scan, op4_sql
 from .orc_tokens import op5_orc_tokens
 from .packing import op7_best_fit_packing
 from .secrets import op10_secret_scan
+from .url_filter import op6_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op3_learned_partitions": op3_learned_partitions,
     "op4_license_scan": op4_license_scan,
     "op5_orc_tokens": op5_orc_tokens,
+    "op6_url_filter": op6_url_filter,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
