@@ -13,11 +13,13 @@ from .language_id import op1_language_id
 from .license_scan import op4_license_scan, op4_sql
 from .orc_tokens import op5_orc_tokens
 from .packing import op7_best_fit_packing
+from .quality import op2_quality_cnn
 from .secrets import op10_secret_scan
 from .url_filter import op6_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_quality_cnn": op2_quality_cnn,
     "op3_learned_partitions": op3_learned_partitions,
     "op4_license_scan": op4_license_scan,
     "op5_orc_tokens": op5_orc_tokens,
