@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import starmart
 from starmart.session import checkpoint_root
 
 #: Arrow batches handed to Python workers: at most so many rows and bytes.
@@ -25,6 +27,8 @@ def small_batches(spark: SparkSession) -> None:
     batch by itself)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    # workers find this package where the driver does (a cluster without it there takes --py-files)
+    spark.sparkContext.environment.setdefault("PYTHONPATH", os.path.dirname(os.path.dirname(starmart.__file__)))
 
 
 def scratch(spark: SparkSession, name: str) -> str:

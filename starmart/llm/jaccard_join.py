@@ -1,6 +1,6 @@
 """Exact n-gram Jaccard self-join by vertical partitioning.
 
-All shingles stand in one global order: by the counts of 2^16 hash buckets over
+All shingles stand in one global order: by the counts of 2^20 hash buckets over
 all documents (rare ones first), then by hash. The order is cut into fragments of
 about equal counts, and each document's set into its segments by fragment. The
 overlap of a pair of documents is counted per fragment and summed over them.
@@ -11,11 +11,17 @@ overlap of a pair of documents is counted per fragment and summed over them.
    is then repeated with another seed).
 2. Two sets of Jaccard similarity t share a shingle among the first
    n - ceil(t n) + 1 of the order. These prefixes are dealt by shingle; a class
-   stays on a shingle's list only if another one on it has a fitting size and position. Common passages come last in the order, so they
+   stays on a shingle's list only if another one on it has a fitting size and position,
+   and goes on only if it is on as many lists as a linked pair shares at least: what
+   two linked sets have in common beyond the prefix that ends first is at most the
+   rest of that set, so the prefixes share overlap - ceil(t n) + 1 or more. Common passages come last in the order, so they
    are in no prefix of a text that has something of its own.
-3. Lists of one shingle are not expanded into all pairs: every member is first
-   paired with three leaders of its list. Pairs that length and position leave
-   possible are counted by fragment; links go to connected components.
+3. Lists of one shingle are not expanded into all pairs: every member is paired
+   with a few leaders of its list, those that meet most others over all lists (the
+   original among edited copies), of the whole list and of quarters by hash. Pairs that
+   length and position leave possible are counted by fragment; links go to connected
+   components. Two more rounds take members outside a list's largest component to
+   further leaders in it, chosen by hash.
 4. Pairs within a component need no test. Where a list still holds several
    components, its members outside the largest one are paired with all members of
    other components, and counted in the same way. After this every link is either
@@ -30,6 +36,7 @@ name unless it has no other (then it is null). An empty table gives no rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -42,13 +49,16 @@ from .shingles import mixed, shingle_sets
 
 WORDS = 5
 PERCENT = 80
-BUCKET_BITS = 16
-FRAGMENTS = 8
-LEADERS = 3
+BUCKET_BITS = 20
+#: Bucket counts travel in slices of so many buckets.
+SLICE = 1 << 13
+FRAGMENTS = 4
+#: Leaders of a list in the first round, and in the next ones for those not yet linked.
+LEADERS = (6, 24, 64)
 #: Class keys a task remembers so that it deals each class out once.
 SEEN = 200_000
 
-DOCS = "doc_id long, n int, class long, check long, bucket int, count long"
+DOCS = "doc_id long, n int, class long, check long, slice int, counts binary"
 
 
 def _bucket(x: np.ndarray) -> np.ndarray:
@@ -64,7 +74,7 @@ def document_rows(words: int, seed: int):
 
     def run(batches):
         counts = np.zeros(1 << BUCKET_BITS, np.int64)
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         names = [c.split()[0] for c in DOCS.split(", ")]
         for batch in batches:
             n, key, check, buckets = [], [], [], []
@@ -78,14 +88,24 @@ def document_rows(words: int, seed: int):
             none = pa.nulls(len(n))
             yield pa.RecordBatch.from_arrays(
                 [c.cast(t) for c, t in zip([batch.column(0), pa.array(n, pa.int32()), pa.array(key, pa.int64()), pa.array(check, pa.int64()), none, none], types)], names=names)
-        at = np.flatnonzero(counts)
-        none = pa.nulls(len(at))
+        slices = counts.reshape(-1, SLICE).astype(np.uint32 if counts.max() < 1 << 32 else np.uint64)
+        none = pa.nulls(len(slices))
         yield pa.RecordBatch.from_arrays(
-            [c.cast(t) for c, t in zip([none, none, none, none, pa.array(at.astype(np.int32)), pa.array(counts[at])], types)], names=names)
+            [c.cast(t) for c, t in zip([none, none, none, none, pa.array(np.arange(len(slices), dtype=np.int32)), pa.array([x.tobytes() for x in slices], pa.binary())], types)], names=names)
 
     return run
 
 
+def slice_sums(batches):
+    """mapInArrow function: (slice, counts) to one row per slice met."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for i, c in zip(batch.column(0).to_pylist(), batch.column(1)):
+            c = c.as_buffer()
+            sums[i] = sums.get(i, 0) + np.frombuffer(c, np.uint32 if c.size == 4 * SLICE else np.uint64).astype(np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["slice", "counts"])
+
+
 @dataclass
 class Order:
     """The global order: a rank for each hash bucket, and each rank's fragment."""
@@ -160,6 +180,15 @@ def _possible(n_a: Column, p_a: Column, n_b: Column, p_b: Column, percent: int)
     return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & ((100 + percent) * most >= percent * (n_a + n_b))
 
 
+def _overlap(n_a: Column, n_b: Column, percent: int) -> Column:
+    """The least overlap of linked sets of these sizes."""
+    return F.ceil(percent * (n_a + n_b) / (100 + percent))
+
+
+def _whole(n: Column, percent: int) -> Column:
+    return F.ceil(percent * n / 100)
+
+
 def _n(place: str) -> Column:
     return F.shiftright(F.col(place), 32)
 
@@ -185,6 +214,21 @@ def _links(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
             .where((100 + percent) * F.col("shared") >= percent * F.col("n_both")).select("a", "b"))
 
 
+def _stars(components: DataFrame) -> DataFrame:
+    """Components as edges to their roots."""
+    return components.where("id != root").select(F.col("id").alias("a"), F.col("root").alias("b"))
+
+
+def _mixed_lists(lists: DataFrame, edges: DataFrame) -> DataFrame:
+    """The lists that hold several components, with each member's root and the list's
+    largest component."""
+    rooted = lists.join(edges.select(F.col("a").alias("class"), F.col("b").alias("root")), "class", "left")
+    rooted = staged(rooted.withColumn("root", F.coalesce("root", "class")), "jaccard-rooted")
+    largest = (rooted.groupBy("shingle", "root").agg(F.count("*").alias("n")).groupBy("shingle")
+               .agg(F.max(F.struct("n", "root"))["root"].alias("largest"), F.count("*").alias("roots")).where("roots > 1"))
+    return rooted.join(largest.select("shingle", "largest"), "shingle")
+
+
 def _document_table(texts: DataFrame, words: int) -> tuple[DataFrame, int]:
     for seed in range(16):
         found = staged(texts.mapInArrow(document_rows(words, seed), DOCS), "jaccard-docs")
@@ -201,24 +245,35 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     found, seed = _document_table(texts, words)
-    rows = found.where("bucket is null").select("doc_id", "n", "class")
+    rows = found.where("slice is null").select("doc_id", "n", "class")
     counts = np.zeros(1 << BUCKET_BITS, np.int64)
-    # 2^16 sums at most, whatever the input
-    for r in found.where("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("count")).collect():
-        counts[r["bucket"]] = r["count"]
+    # one row per slice: 8 MB, whatever the input
+    for r in found.where("slice is not null").select("slice", "counts").repartition("slice").mapInArrow(slice_sums, "slice int, counts binary").collect():
+        counts[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(r["counts"], np.int64)
     order = Order.of(counts, fragments)
 
+    # members of a list whose size fits another one's, with the range of fitting sizes
+    margin = int(log(100 / percent) * 1e6) + 2
+    fitting = Window.partitionBy("shingle").orderBy(F.floor(F.log("n") * 1e6)).rangeBetween(-margin, margin)
+    lists = staged(
+        texts.select("text").mapInArrow(prefix_rows(words, percent, seed, order), "shingle long, class long, place long")
+        .repartition("shingle").dropDuplicates(["shingle", "class"]).withColumn("n", _n("place"))
+        .select("shingle", "class", "place", "n", F.count("*").over(fitting).alias("members"), F.min("n").over(fitting).alias("lo"), F.max("n").over(fitting).alias("hi"))
+        .where("members > 1").drop("members"), "jaccard-lists")
+    # A linked pair shares many prefix shingles: a class on fewer lists has no partner.
+    least = F.least(_overlap(F.col("n"), F.col("lo"), percent) - _whole(F.col("n"), percent),
+                    _overlap(F.col("n"), F.col("hi"), percent) - _whole(F.col("hi"), percent) - 1) + 1
+    able = (lists.groupBy("class", "n").agg(F.count("*").alias("lists"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+            .where(F.col("lists") >= least).select("class"))
     # In order of size, a member's partners before it are those whose largest possible
     # partner reaches it; it keeps its place if one before or the next one can link.
     by_size = Window.partitionBy("shingle").orderBy("n", "class")
     reach = F.floor((100 + percent) * (F.col("n") - _p("place")) / percent) - F.col("n")
     lists = staged(
-        texts.select("text").mapInArrow(prefix_rows(words, percent, seed, order), "shingle long, class long, place long")
-        .repartition("shingle").dropDuplicates(["shingle", "class"])
-        .withColumn("n", _n("place")).withColumn("reach", reach)
+        lists.join(able, "class", "left_semi").withColumn("reach", reach)
         .withColumn("reached", F.max("reach").over(by_size.rowsBetween(Window.unboundedPreceding, -1)))
         .withColumn("next_n", F.lead("n").over(by_size))
-        .where("reached >= n or next_n <= reach").select("shingle", "class", "place"), "jaccard-lists")
+        .where("reached >= n or next_n <= reach").select("shingle", "class", "place"), "jaccard-lists-1")
 
     # one text per class that shares a prefix shingle with another class
     chosen = (rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
@@ -228,24 +283,35 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         .mapInArrow(segment_rows(words, seed, order), "class long, fragment int, segment array<long>"), "jaccard-segments")
 
     of_shingle = Window.partitionBy("shingle")
-    leader = [F.min(F.struct(F.xxhash64("class", F.lit(i)).alias("h"), "class", "place")).over(of_shingle).alias(f"l{i}") for i in range(LEADERS)]
-    stars = _pairs(
-        lists.select("class", "place", *leader).select(F.col("class").alias("a"), F.col("place").alias("place_a"), F.explode(F.array(*[f"l{i}" for i in range(LEADERS)])).alias("l"))
-        .select("a", "place_a", F.col("l.class").alias("b"), F.col("l.place").alias("place_b")).where("a != b"), percent)
-    stars = staged(stars, "jaccard-stars")
-    first = connected_components(_links(stars, segments, percent))
-
-    lists = lists.select("shingle", "class", "place").join(first.withColumnRenamed("id", "class"), "class", "left")
-    lists = staged(lists.select("shingle", "class", "place", F.coalesce("root", "class").alias("root")), "jaccard-lists-2")
-    largest = (lists.groupBy("shingle", "root").agg(F.count("*").alias("n")).groupBy("shingle")
-               .agg(F.max(F.struct("n", "root"))["root"].alias("largest"), F.count("*").alias("roots")).where("roots > 1"))
-    mixed_lists = lists.join(largest.select("shingle", "largest"), "shingle")
-    a = mixed_lists.where("root != largest").select("shingle", F.col("class").alias("a"), F.col("place").alias("place_a"), F.col("root").alias("root_a"))
-    b = mixed_lists.select("shingle", F.col("class").alias("b"), F.col("place").alias("place_b"), F.col("root").alias("root_b"), "largest")
+    degree = lists.withColumn("others", F.count("*").over(of_shingle) - 1).groupBy("class").agg(F.sum("others").alias("degree"))
+    lists = staged(lists.join(degree, "class"), "jaccard-lists-2")
+    edges = docs.sparkSession.createDataFrame([], "a long, b long")
+    tested = edges
+    for round_, n_leaders in enumerate(LEADERS):
+        now = _mixed_lists(lists, edges)
+        leaders = []
+        for i in range(n_leaders):
+            by = F.xxhash64("class", F.lit(100 * round_ + i))
+            if round_ == 0:  # the first of all, the others each of a quarter chosen by hash
+                chosen, by = F.lit(True) if i == 0 else F.pmod(by, F.lit(4)) == 0, F.col("degree")
+            else:
+                chosen = F.col("root") == F.col("largest")
+            leaders.append(F.max(F.when(chosen, F.struct(by.alias("by"), "class", "place", "root"))).over(of_shingle).alias(f"l{i}"))
+        followers = now.select("class", "place", "root", "largest", *leaders).where("true" if round_ == 0 else "root != largest")
+        stars = _pairs(
+            followers.select(F.col("class").alias("a"), F.col("place").alias("place_a"), "root", F.explode(F.array(*[f"l{i}" for i in range(n_leaders)])).alias("l"))
+            .where(F.col("l").isNotNull() & (F.col("root") != F.col("l.root")))
+            .select("a", "place_a", F.col("l.class").alias("b"), F.col("l.place").alias("place_b")), percent)
+        stars = staged(stars.join(tested, ["a", "b"], "left_anti"), "jaccard-stars")
+        tested = tested.union(stars.select("a", "b"))
+        edges = _stars(connected_components(edges.union(_links(stars, segments, percent))))
+
+    now = _mixed_lists(lists, edges)
+    a = now.where("root != largest").select("shingle", F.col("class").alias("a"), F.col("place").alias("place_a"), F.col("root").alias("root_a"))
+    b = now.select("shingle", F.col("class").alias("b"), F.col("place").alias("place_b"), F.col("root").alias("root_b"), "largest")
     crossing = a.join(b, "shingle").where("root_a != root_b and (root_b = largest or a < b)")
-    rest = staged(_pairs(crossing, percent).join(stars.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-rest")
-    second = connected_components(first.where("id != root").select(F.col("id").alias("a"), F.col("root").alias("b"))
-                                  .union(_links(rest, segments, percent)))
+    rest = staged(_pairs(crossing, percent).join(tested, ["a", "b"], "left_anti"), "jaccard-rest")
+    second = connected_components(edges.union(_links(rest, segments, percent)))
 
     full = rows.where("n > 0").join(second.withColumnRenamed("id", "class"), "class", "left").select(
         "doc_id", "n", "class", F.coalesce("root", "class").alias("root"))

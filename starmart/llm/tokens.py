@@ -19,11 +19,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct pieces a worker keeps between blocks (about 60 bytes each).
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 2_000_000
 #: Longer pieces are not kept between blocks.
-CACHE_PIECE_CHARS = 48
+CACHE_PIECE_BYTES = 64
 #: Bytes of text handled at once in a worker (a longer text is a block by itself).
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 12_000_000
 
 
 def default_path() -> str:
@@ -74,7 +74,9 @@ class PieceEncoder:
     def _gather(self, at: np.ndarray) -> np.ndarray:
         n = self.sizes[at]
         ends = np.cumsum(n)
-        return self.pool[np.repeat(self.starts[at] - ends + n, n) + np.arange(int(n.sum()))]
+        places = np.repeat((self.starts[at] - ends + n).astype(np.int32), n)
+        places += np.arange(len(places), dtype=np.int32)
+        return self.pool[places]
 
     def _places(self, words: pa.Array) -> np.ndarray:
         """Places in the known pieces of distinct words that start at a sure border;
@@ -131,13 +133,12 @@ class PieceEncoder:
         codes[first[:-1]] = -1
         rest = codes >= 0
         ids = self._gather(codes[rest])
-        sizes = np.zeros(len(codes), np.int64)
-        sizes[rest] = self.sizes[codes[rest]]
+        sizes = np.where(rest, self.sizes[codes], 0) if len(self.sizes) else np.zeros(len(codes), np.int64)
         ends = np.concatenate([[0], np.cumsum(sizes)])[first]
         heads = self._each(alone)
         n_heads = np.array([len(x) for x in heads])
         ids = np.insert(ids, np.repeat(ends[:-1], n_heads), np.concatenate(heads))
-        long = pc.greater(pc.utf8_length(self.known), CACHE_PIECE_CHARS)
+        long = pc.greater(pc.binary_length(self.known), CACHE_PIECE_BYTES)
         if pc.any(long).as_py():
             keep = np.flatnonzero(~long.to_numpy(zero_copy_only=False))
             self.pool, self.known = self._gather(keep), self.known.take(pa.array(keep))
