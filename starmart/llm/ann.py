@@ -53,16 +53,17 @@ def nearest(x: np.ndarray, q: np.ndarray, k: int) -> np.ndarray:
 def balanced_parts(x: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 20) -> np.ndarray:
     """Cut the neighbour graph into parts of nearly equal size with few cut edges."""
     part = np.zeros(len(x), int)
-    groups = [np.arange(len(x))]
-    while len(groups) < parts:
-        groups.sort(key=len)
-        rows = groups.pop()
+    todo = [(np.arange(len(x)), 0, parts)]
+    while todo:
+        rows, first, n = todo.pop()
+        if n == 1:
+            part[rows] = first
+            continue
         centred = x[rows] - x[rows].mean(0)
         axis = np.linalg.eigh(centred.T @ centred)[1][:, -1]
         order = np.argsort(centred @ axis, kind="stable")
-        groups += [rows[order[: len(rows) // 2]], rows[order[len(rows) // 2 :]]]
-    for i, rows in enumerate(groups):
-        part[rows] = i
+        cut = len(rows) * (n // 2) // n
+        todo += [(rows[order[:cut]], first, n // 2), (rows[order[cut:]], first + n // 2, n - n // 2)]
     limit = int(1.15 * len(x) / parts) + 1
     both = [set(g) for g in graph.tolist()]
     for i, g in enumerate(graph.tolist()):

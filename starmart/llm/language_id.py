@@ -11,7 +11,7 @@ All counts are grouped aggregations over all rows; what reaches the driver has a
 fixed size (languages x buckets, and the values of the declared language that name
 one of them). Hosts and suffixes stay distributed and are joined.
 
-A model of no language (``und``) takes texts whose trigrams fit none; such rows are
+Texts whose trigrams are as good as unknown to all languages are ``und``; such rows are
 rejected, as are rows without a single trigram. All other rows are accepted.
 Null declared languages, suffixes and hosts are no evidence; null and empty texts
 are ``und``. Rows that repeat a key are rows of their own. An empty table gives no
@@ -38,8 +38,9 @@ SMOOTH = 0.5
 HOST_STRENGTH, SUFFIX_STRENGTH = 20.0, 100.0
 #: Probability mass a language's model leaves to unseen trigrams.
 UNSEEN = 0.02
-#: Mean log-likelihood per trigram by which a text may fall short of its language's own mean.
-SLACK = 2.0
+#: A text whose mean log-likelihood per trigram is at most so far above that of unseen
+#: trigrams, under every language, fits none.
+FIT = 2.0
 
 
 def evidence(df: DataFrame, key: str, text: Column, declared: Column, suffix: Column, host: Column) -> DataFrame:
@@ -141,8 +142,7 @@ def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFra
     """Per row of ``evidence``: key, lang, posterior, text_lang, declared, accepted."""
     small_batches(rows.sparkSession)
     models = text_models(rows, languages)
-    own = (np.exp(models) * models).sum(axis=1)  # mean log-likelihood of a language's own text
-    blank = float(own.min()) - SLACK
+    blank = float(np.log(UNSEEN / BUCKETS)) + FIT
     scored = staged(rows.mapInArrow(likelihood_rows(models), "key long, declared string, suffix string, host string, n long, mean array<double>")
                     .withColumn("best", F.array_max("mean"))
                     .withColumn("text_lang", F.when((F.col("n") == 0) | (F.col("best") < blank), UNKNOWN).otherwise(_argmax(F.col("mean"), languages))), "language-text")
@@ -180,7 +180,7 @@ def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFra
 
     def log_posterior(i: int, _: str) -> Column:
         by_declared = F.array(*[F.lit(float(declared[i, j])) for j in [-1, *range(len(languages))]])
-        return (TEMPER * F.col("n") * F.col("mean")[i] + F.coalesce(by_declared[said], F.lit(0.0))
+        return (TEMPER * F.col("n") * F.col("mean")[i] + F.coalesce(F.get(by_declared, said), F.lit(0.0))
                 + F.coalesce(F.log(F.col("p_suffix")[i] / corpus[i]), F.lit(0.0)) + F.log(F.coalesce(F.col("p_host")[i], F.col("p_suffix")[i], F.lit(corpus[i]))))
 
     out = joined.withColumn("scores", per(log_posterior)).withColumn("top", F.array_max("scores"))

@@ -68,7 +68,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str | None = None,
             .repartitionByRange(F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions("doc_id"))
     (rows.mapInArrow(encode_rows(tokenizer_path or default_path(), end_id), TOKENS)
      .write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", str(BLOOM_FPP))
-     .option("orc.create.index", "true").option("orc.stripe.size", str(stripe_bytes)).option("compression", "zstd")
+     .option("orc.create.index", "true").option("orc.stripe.size", str(stripe_bytes)).option("compression", "snappy")
      .orc(path))
 
 
