@@ -16,13 +16,30 @@ from __future__ import annotations
 
 import argparse
 import sys
+import time
 
 from starmart.plans import diagnostics, reports
 from starmart.session import get_spark
 from starmart.sources import files
 from starmart.sources.warehouse import Warehouse
 from starmart.streaming.loader import WarehouseLoader
-from starmart.streaming.pipeline import run_to_completion
+from starmart.streaming.pipeline import DEFAULT_TRIGGER_BYTES, run_to_completion
+
+
+def new_batch_id() -> int:
+    """A batch id for a one-shot load: milliseconds of the clock, which no stream's
+    running batch number reaches."""
+    return time.time_ns() // 1_000_000
+
+
+def _print_rows(df, limit: int | None) -> None:
+    """Print a report row by row, one partition at a time on the driver."""
+    print("\t".join(df.columns))
+    for i, row in enumerate(df.toLocalIterator()):
+        if i == limit:
+            print(f"... cut after {limit} rows")
+            break
+        print("\t".join("" if v is None else str(v) for v in row))
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -35,15 +52,16 @@ def _parser() -> argparse.ArgumentParser:
     ld.add_argument("--transactions")
     ld.add_argument("--format", default="csv")
     ld.add_argument("--stream", action="store_true")
-    ld.add_argument("--max-files-per-trigger", type=int, default=1)
-    ld.add_argument("--max-bytes-per-trigger")
+    ld.add_argument("--max-files-per-trigger", type=int)
+    ld.add_argument("--max-bytes-per-trigger", default=DEFAULT_TRIGGER_BYTES)
     ld.add_argument("--checkpoint")
-    ld.add_argument("--batch-id", type=int, default=0, help="batch id of a one-shot load")
+    ld.add_argument("--batch-id", type=int, help="batch id of a one-shot load; by default a new one, above all of a stream's")
     rp = sub.add_parser("report", help="run reports (all by default)")
     rp.add_argument("--warehouse", required=True)
     rp.add_argument("--year", type=int, default=reports.DEFAULT_YEAR)
     rp.add_argument("--out")
     rp.add_argument("--format", default="csv")
+    rp.add_argument("--rows", type=int, help="print so many rows of a report at most; by default all")
     rp.add_argument("names", nargs="*")
     rt = sub.add_parser("retry", help="retry open rejects against the current dimensions")
     rt.add_argument("--warehouse", required=True)
@@ -71,7 +89,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
                                   max_bytes_per_trigger=args.max_bytes_per_trigger, loader=loader)
             else:
                 loader.process_batch(files.read_transactions(spark, args.transactions, args.format),
-                                     args.batch_id)
+                                     new_batch_id() if args.batch_id is None else args.batch_id)
         out["batches"] = [(r.batch_id, r.loaded, r.rejected) for r in loader.reports]
     elif args.cmd == "report":
         star = wh.star()
@@ -83,7 +101,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
                 files.export(df, f"{args.out.rstrip('/')}/{name}", args.format)
             else:
                 print(f"-- {name}")
-                df.show(20, truncate=False)
+                _print_rows(df, args.rows)
             out[name] = True
     elif args.cmd == "retry":
         r = WarehouseLoader(wh).retry_rejects(args.retry_id)

@@ -17,6 +17,7 @@ BAD_QUANTITY = "bad_quantity"
 BAD_DATE = "bad_date"
 UNKNOWN_CUSTOMER = "unknown_customer"
 UNKNOWN_PRODUCT = "unknown_product"
+MISSING_PRICE = "missing_price"
 AMOUNT_OVERFLOW = "amount_overflow"
 RETRYABLE = (UNKNOWN_CUSTOMER, UNKNOWN_PRODUCT)
 
@@ -56,6 +57,13 @@ def cleanse_transactions(raw: DataFrame) -> DataFrame:
     ]))
 
 
+def _load_order(raw: DataFrame):
+    """Orders master rows as they stand in their files, taken by name; rows that come
+    from no file stand in partition order."""
+    place = [F.col("_file")] if "_file" in raw.columns else []
+    return F.struct(*place, F.monotonically_increasing_id().alias("row"))
+
+
 def cleanse_customers(raw: DataFrame) -> DataFrame:
     """Typed customer master rows with a load order; rows without an id dropped."""
     return (raw.select(
@@ -66,7 +74,7 @@ def cleanse_customers(raw: DataFrame) -> DataFrame:
         F.trim("City_Category").alias("City_Category"),
         F.trim("Stay_In_Current_City_Years").alias("Stay_In_Current_City_Years"),
         parse_int("Marital_Status").alias("Marital_Status"),
-        F.monotonically_increasing_id().alias("_load_order"))
+        _load_order(raw).alias("_load_order"))
         .filter(F.col("Customer_ID").isNotNull()))
 
 
@@ -80,7 +88,7 @@ def cleanse_products(raw: DataFrame) -> DataFrame:
         F.trim("storeName").alias("storeName"),
         clean_id("supplierID").alias("supplierID"),
         F.trim("supplierName").alias("supplierName"),
-        F.monotonically_increasing_id().alias("_load_order"))
+        _load_order(raw).alias("_load_order"))
         .filter(F.col("Product_ID").isNotNull()))
 
 

@@ -29,7 +29,8 @@ def enrich(tx_clean: DataFrame, dim_customer: DataFrame, dim_product: DataFrame)
     lookup = C.first_reason([
         (F.col("customer_key").isNull(), C.UNKNOWN_CUSTOMER),
         (F.col("product_key").isNull(), C.UNKNOWN_PRODUCT),
-        (F.col("price").isNotNull() & amount.isNull(), C.AMOUNT_OVERFLOW),
+        (F.col("price").isNull(), C.MISSING_PRICE),
+        (amount.isNull(), C.AMOUNT_OVERFLOW),
     ])
     return j.withColumn("total_amount", amount).withColumn(
         "reject_reason", F.coalesce(F.col("pre_reason"), lookup))

@@ -160,7 +160,7 @@ def flag_spikes(daily: DataFrame, entity, measure: str, factor: float = 2.0,
     its size is bounded by the number of periods, not by the raw data.
     """
     w = Window.partitionBy(*_cols(entity))
-    avg = exact_avg(F.sum(measure).over(w), F.count(F.lit(1)).over(w))
+    avg = exact_avg(F.sum(measure).over(w), F.count(measure).over(w))
     spike = F.col(measure) > F.lit(factor) * F.col(avg_col)
     out = (daily.withColumn(avg_col, avg)
            .withColumn(ratio_col, F.round(safe_div(F.col(measure), F.col(avg_col)), 2))

@@ -51,7 +51,7 @@ def stream_load(spark: SparkSession, sf_dir: str, n_files: int | None = None,
     landing = f"{checkpoint_root(spark)}/starmart-landing/{uuid.uuid4().hex[:10]}"
     testdata.land_transactions(spark, sf_dir, landing, n_files=n_files, fmt="csv")
     run_to_completion(spark, wh, landing, max_files_per_trigger=max(1, n_files // 4),
-                      max_bytes_per_trigger=max_bytes_per_trigger, loader=loader, timeout_s=3600)
+                      max_bytes_per_trigger=max_bytes_per_trigger, loader=loader)
     return wh, loader, landing
 
 

@@ -21,6 +21,11 @@ DEFAULT_CONF = {
 }
 
 
+def launched() -> bool:
+    """Was this process started by spark-submit, which then names the master?"""
+    return "PYSPARK_GATEWAY_PORT" in os.environ
+
+
 def get_spark(cpus: int | str = "*", shuffle_partitions: int | None = None,
               app: str = "starmart", extra: dict | None = None) -> SparkSession:
     """A local session for tests, the bench and the examples.
@@ -28,10 +33,14 @@ def get_spark(cpus: int | str = "*", shuffle_partitions: int | None = None,
     On a cluster, build the session with the cluster's launcher instead and
     pass it in; nothing in the library depends on local mode.
     """
-    parts = shuffle_partitions or (8 if cpus == "*" else max(int(cpus), 1) * 2)
-    builder = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
-               .config("spark.sql.shuffle.partitions", str(parts))
-               .config("spark.driver.memory", os.environ.get("STARMART_DRIVER_MEMORY", "8g")))
+    builder = SparkSession.builder.appName(app)
+    if launched():  # by spark-submit: master, sizes and memory are the launcher's
+        if shuffle_partitions:
+            builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    else:
+        parts = shuffle_partitions or (8 if cpus == "*" else max(int(cpus), 1) * 2)
+        builder = (builder.master(f"local[{cpus}]").config("spark.sql.shuffle.partitions", str(parts))
+                   .config("spark.driver.memory", os.environ.get("STARMART_DRIVER_MEMORY", "8g")))
     for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -2,27 +2,59 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.schemas import CUSTOMER_RAW, PRODUCT_RAW, TRANSACTION_RAW
 
 
+def _header_schema(spark: SparkSession, path: str, raw: T.StructType, glob: str | None = None) -> T.StructType:
+    """String columns in the order of the files' header. Columns are found by name:
+    any order and extra columns are fine, a missing column is an error."""
+    r = spark.read.option("header", True)
+    found = (r.option("pathGlobFilter", glob) if glob else r).csv(path).columns
+    missing = [c for c in raw.names if c not in found]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header {found}")
+    return T.StructType([T.StructField(c, T.StringType()) for c in found])
+
+
+def _read_csv(spark: SparkSession, path: str, raw: T.StructType) -> DataFrame:
+    """CSV rows by header name; a file whose header differs from the others' fails the read."""
+    return (spark.read.schema(_header_schema(spark, path, raw)).option("header", True)
+            .option("enforceSchema", False).csv(path))
+
+
+def _in_file_order(df: DataFrame, raw: T.StructType) -> DataFrame:
+    """The raw columns, and where a row stands: file, block in it."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    return df.select(*raw.names, place.alias("_file"))
+
+
 def read_customers(spark: SparkSession, path: str) -> DataFrame:
     """Customer master CSV with a header row."""
-    return spark.read.schema(CUSTOMER_RAW).option("header", True).csv(path)
+    return _in_file_order(_read_csv(spark, path, CUSTOMER_RAW), CUSTOMER_RAW)
 
 
 def read_products(spark: SparkSession, path: str) -> DataFrame:
     """Product master CSV; ``price$`` stays as read and is renamed by cleansing."""
-    return spark.read.schema(PRODUCT_RAW).option("header", True).csv(path)
+    return _in_file_order(_read_csv(spark, path, PRODUCT_RAW), PRODUCT_RAW)
 
 
 def read_transactions(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Transactions as a batch (a folder or file of CSV / Parquet)."""
-    r = spark.read.schema(TRANSACTION_RAW)
     if fmt == "csv":
-        return r.option("header", True).csv(path)
-    return r.format(fmt).load(path)
+        return _read_csv(spark, path, TRANSACTION_RAW).select(*TRANSACTION_RAW.names)
+    return spark.read.schema(TRANSACTION_RAW).format(fmt).load(path)
+
+
+def _n_bytes(size: str | int) -> int:
+    """Bytes of a size such as 512m or 4g."""
+    text = str(size).strip().lower()
+    factor = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(text[-1:], 1)
+    return int(text[:-1] if factor > 1 else text) * factor
 
 
 def stream_transactions(spark: SparkSession, landing_dir: str, fmt: str = "csv",
@@ -35,16 +67,22 @@ def stream_transactions(spark: SparkSession, landing_dir: str, fmt: str = "csv",
     enrichment join and of the per-batch cache: the back-pressure the
     producer/consumer queue of a hand-written loader lacks.
     """
-    r = spark.readStream.schema(TRANSACTION_RAW).option("latestFirst", False)
+    schema = TRANSACTION_RAW
+    if fmt == "csv":
+        try:
+            schema = _header_schema(spark, landing_dir, TRANSACTION_RAW, glob)
+        except AnalysisException:  # nothing landed yet: files are expected in the documented order
+            pass
+    r = spark.readStream.schema(schema).option("latestFirst", False)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if max_bytes_per_trigger:
-        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
+        r = r.option("maxBytesPerTrigger", _n_bytes(max_bytes_per_trigger))
     if glob:
         r = r.option("pathGlobFilter", glob)
     if fmt == "csv":
-        r = r.option("header", True)
-    return r.format(fmt).load(landing_dir)
+        r = r.option("header", True).option("enforceSchema", False)
+    return r.format(fmt).load(landing_dir).select(*TRANSACTION_RAW.names)
 
 
 def export(df: DataFrame, path: str, fmt: str = "csv") -> None:

@@ -15,33 +15,52 @@
 * progress: ``StreamingQuery.lastProgress`` plus the loader's per-batch
   loaded / rejected counts.
 
-The checkpoint folder must be on shared storage (by default a subfolder of
-``spark.checkpoint.dir``) so the query survives the loss of any executor
+The checkpoint folder must be on shared storage (by default it is in the
+warehouse, by landing folder) so the query survives the loss of any executor
 or a driver restart.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from starmart.session import checkpoint_root
 from starmart.sources.files import stream_transactions
 from starmart.sources.warehouse import Warehouse
 from starmart.streaming.loader import WarehouseLoader
 
+#: Input of one micro-batch.
+DEFAULT_TRIGGER_BYTES = "4g"
+
+
+def _drain(q: StreamingQuery, timeout_s: float | None) -> None:
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"stream did not drain within {timeout_s}s")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
 
 def start_loader(spark: SparkSession, warehouse: Warehouse, landing_dir: str,
                  checkpoint_location: str | None = None, fmt: str = "csv",
-                 max_files_per_trigger: int | None = 1, max_bytes_per_trigger: str | None = None,
+                 max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = DEFAULT_TRIGGER_BYTES,
                  available_now: bool = True,
                  processing_time: str = "10 seconds", glob: str | None = None,
                  loader: WarehouseLoader | None = None) -> tuple[StreamingQuery, WarehouseLoader]:
-    """Start the streaming load of ``landing_dir`` into ``warehouse``."""
+    """Start the streaming load of ``landing_dir`` into ``warehouse``.
+
+    Micro-batches are bounded by bytes, or by files if ``max_files_per_trigger`` is
+    given. The checkpoint lives in the warehouse, one per landing folder, so a new
+    process goes on where the last one stopped."""
     loader = loader or WarehouseLoader(warehouse)
-    ckpt = checkpoint_location or f"{checkpoint_root(spark)}/starmart-stream/{warehouse.root.rsplit('/', 1)[-1]}"
-    if max_bytes_per_trigger:
-        max_files_per_trigger = None  # the two limits are exclusive; bytes wins
+    source = hashlib.sha256(landing_dir.rstrip("/").encode()).hexdigest()[:16]
+    ckpt = checkpoint_location or f"{warehouse.root.rstrip('/')}/_checkpoints/{source}"
+    if max_files_per_trigger:
+        max_bytes_per_trigger = None  # the two limits are exclusive
     stream = stream_transactions(spark, landing_dir, fmt=fmt,
                                  max_files_per_trigger=max_files_per_trigger,
                                  max_bytes_per_trigger=max_bytes_per_trigger, glob=glob)
@@ -51,15 +70,10 @@ def start_loader(spark: SparkSession, warehouse: Warehouse, landing_dir: str,
 
 
 def run_to_completion(spark: SparkSession, warehouse: Warehouse, landing_dir: str,
-                      timeout_s: float = 3600, **kw) -> WarehouseLoader:
-    """Drain ``landing_dir`` with ``availableNow`` and wait for the stop."""
+                      timeout_s: float | None = None, **kw) -> WarehouseLoader:
+    """Drain ``landing_dir`` with ``availableNow`` and wait for the stop, as long as it takes."""
     q, loader = start_loader(spark, warehouse, landing_dir, available_now=True, **kw)
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
-        q.stop()
-        raise TimeoutError(f"stream did not drain within {timeout_s}s")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _drain(q, timeout_s)
     return loader
 
 
@@ -80,7 +94,7 @@ def stream_static_join(stream: DataFrame, master: DataFrame, on: Column | str |
 
 
 def run_file_sink(df: DataFrame, path: str, checkpoint_location: str, partition_by=(),
-                  available_now: bool = True, timeout_s: float = 3600) -> StreamingQuery:
+                  available_now: bool = True, timeout_s: float | None = None) -> StreamingQuery:
     """Write a stream to Parquet with the exactly-once file sink (the sink's
     own log under ``path/_spark_metadata`` lists the committed files, so a
     re-run batch never duplicates rows for readers), and wait for the drain."""
@@ -91,9 +105,5 @@ def run_file_sink(df: DataFrame, path: str, checkpoint_location: str, partition_
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     q = w.start()
     if available_now:
-        if not q.awaitTermination(timeout_s):
-            q.stop()
-            raise TimeoutError(f"stream did not drain within {timeout_s}s")
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+        _drain(q, timeout_s)
     return q

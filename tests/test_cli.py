@@ -24,7 +24,7 @@ def test_load_stream_report_retry(spark, tmpdir_path):
     _write(f"{d}/in/tx/b.csv", header + "O2,1000002,P2,5,2017-07-01\nO3,1000003,P1,1,2017-07-02\n")
     wh = f"{d}/dw"
     out = main(["load", "--warehouse", wh, "--customers", f"{d}/in/customers", "--products", f"{d}/in/products",
-                "--transactions", f"{d}/in/tx", "--stream", "--checkpoint", f"{d}/ck"], spark=spark)
+                "--transactions", f"{d}/in/tx", "--stream", "--max-files-per-trigger", "1", "--checkpoint", f"{d}/ck"], spark=spark)
     assert sorted(out["batches"]) == [(0, 2, 0), (1, 1, 1)]
     out = main(["report", "--warehouse", wh, "--out", f"{d}/results", "q13_supplier_contribution",
                 "q16_affinity", "diag_row_counts"], spark=spark)

@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from starmart.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -43,13 +44,13 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(catalog.queries()) - set(E.oracle_sql())
     assert not missing, missing
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = catalog.queries()[name](spark, SF)
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
