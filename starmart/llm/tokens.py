@@ -19,11 +19,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct pieces a worker keeps between blocks (about 60 bytes each).
-CACHE_PIECES = 2_000_000
+CACHE_PIECES = 1_000_000
 #: Longer pieces are not kept between blocks.
 CACHE_PIECE_BYTES = 64
 #: Bytes of text handled at once in a worker (a longer text is a block by itself).
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 6_000_000
 
 
 def default_path() -> str:
@@ -156,6 +156,7 @@ class PieceEncoder:
             done = ends[at - 1] if at else 0
             n = max(1, int(np.searchsorted(ends, done + BLOCK_BYTES, "right")) - at)
             yield (at, *self._block(texts.slice(at, n)))
+            pa.default_memory_pool().release_unused()
             at += n
 
 
