@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once in a worker (a longer text is a block by itself).
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -19,11 +19,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct pieces a worker keeps between blocks (about 60 bytes each).
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 400_000
 #: Longer pieces are not kept between blocks.
 CACHE_PIECE_BYTES = 64
 #: Bytes of text handled at once in a worker (a longer text is a block by itself).
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 4_000_000
 
 
 def default_path() -> str:
