@@ -3,7 +3,7 @@
     python -m starmart load    --warehouse DIR --customers CSV --products CSV --transactions DIR [--stream]
     python -m starmart report  --warehouse DIR [--year 2017] [--out DIR] [q01_top_products_daytype ...]
     python -m starmart retry   --warehouse DIR --retry-id -1000
-    python -m starmart compact --warehouse DIR --upto-batch 41 --months 2017-01 2017-02
+    python -m starmart compact --warehouse DIR [--upto-batch 41] --months 2017-01 2017-02
 
 ``report`` writes one CSV folder per report under ``--out`` (or shows the
 first rows), like sending the report SQL file to a client and saving the
@@ -68,7 +68,7 @@ def _parser() -> argparse.ArgumentParser:
     rt.add_argument("--retry-id", type=int, required=True)
     cp = sub.add_parser("compact", help="merge committed batch folders of some months")
     cp.add_argument("--warehouse", required=True)
-    cp.add_argument("--upto-batch", type=int, required=True)
+    cp.add_argument("--upto-batch", type=int, help="by default all finished batches")
     cp.add_argument("--months", nargs="+", required=True, help="yyyy-mm")
     return p
 

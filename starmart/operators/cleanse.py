@@ -19,7 +19,8 @@ UNKNOWN_CUSTOMER = "unknown_customer"
 UNKNOWN_PRODUCT = "unknown_product"
 MISSING_PRICE = "missing_price"
 AMOUNT_OVERFLOW = "amount_overflow"
-RETRYABLE = (UNKNOWN_CUSTOMER, UNKNOWN_PRODUCT)
+LATE_MASTER = "late_master"  # in a replayed batch: a retry loaded the row after the first run
+RETRYABLE = (UNKNOWN_CUSTOMER, UNKNOWN_PRODUCT, LATE_MASTER)
 
 ID_MAX_LEN = 50  # VARCHAR(50) of the business ids
 

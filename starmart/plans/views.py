@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmart.plans.reports import store_quarterly_sales
 from starmart.session import checkpoint_root
-from starmart.sources.warehouse import Star, Warehouse
+from starmart.sources.warehouse import LOADS, Star, Warehouse
 
 ROLLUP = "store_quarterly_sales"
 
@@ -24,9 +24,11 @@ def register_views(spark: SparkSession, star: Star, view_name: str = "STORE_QUAR
     store_quarterly_sales(star).createOrReplaceTempView(view_name)
 
 
-def _months_of_batches(star: Star, batch_ids) -> DataFrame:
-    return (star.fact.filter(F.col("batch_id").isin(*list(batch_ids)))
-            .select("year", (((F.col("month") - 1) / 3).cast("int") + 1).alias("quarter")).distinct())
+def _quarters_of_batches(wh: Warehouse, batch_ids) -> DataFrame:
+    """The (year, quarter) pairs that the ledger records for the batches, also for
+    batches whose facts were compacted meanwhile."""
+    q = wh.read(LOADS).filter(F.col("batch_id").isin(*list(batch_ids))).select(F.explode("quarters").alias("q")).distinct()
+    return q.select((F.col("q") / 10).cast("int").alias("year"), (F.col("q") % 10).alias("quarter"))
 
 
 def materialize_rollup(wh: Warehouse) -> None:
@@ -44,7 +46,7 @@ def refresh_rollup(wh: Warehouse, batch_ids) -> None:
     the fact's year partitions at run time.
     """
     star = wh.star()
-    touched = F.broadcast(_months_of_batches(star, batch_ids))  # at most 4 per year
+    touched = F.broadcast(_quarters_of_batches(wh, batch_ids))  # at most 4 per year
     fact = (star.fact.withColumn("_q", ((F.col("month") - 1) / 3).cast("int") + 1)
             .join(touched.withColumnRenamed("quarter", "_q"), ["year", "_q"], "left_semi").drop("_q"))
     part = Star(fact=fact, customer=star.customer, product=star.product, store=star.store,

@@ -105,17 +105,30 @@ FACT_SALES = T.StructType([
 
 REJECTS = T.StructType(list(TRANSACTION_RAW.fields) + [
     T.StructField("reject_reason", S, False),
-    T.StructField("row_id", T.LongType(), False),
+    T.StructField("row_id", S, False),
     T.StructField("batch_id", T.LongType(), False),
 ])
 
 # A reject fixed by a later retry: which row, and in which load it became a fact.
 REJECTS_RESOLVED = T.StructType([
     T.StructField("batch_id", T.LongType(), False),
-    T.StructField("row_id", T.LongType(), False),
+    T.StructField("row_id", S, False),
     T.StructField("resolved_in", T.LongType(), False),
 ])
 
+# One row per finished load or retry; quarters are yyyyq.
+LOADS = T.StructType([
+    T.StructField("source", S, False),
+    T.StructField("read_rows", T.LongType(), False),
+    T.StructField("loaded_rows", T.LongType(), False),
+    T.StructField("rejected_rows", T.LongType(), False),
+    T.StructField("quarters", T.ArrayType(T.IntegerType()), False),
+    T.StructField("batch_id", T.LongType(), False),
+])
+#: The first batch id of each stream.
+STREAMS = T.StructType([T.StructField("source", S, False), T.StructField("first_id", T.LongType(), False)])
+LOADS_CLOSED = T.StructType([T.StructField("batch_id", T.LongType(), False)])
+
 # The columns of the test-data event stream that the event enrichment reads.
 EVENT = T.StructType([
     T.StructField("event_id", T.LongType()),

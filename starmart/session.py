@@ -102,3 +102,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="starmart-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def _filesystem(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _filesystem(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a staging folder of the library's own."""
+    fs, p = _filesystem(spark, path)
+    fs.delete(p, True)

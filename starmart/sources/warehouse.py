@@ -17,6 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmart import schemas
+from starmart.session import checkpoint_root, path_exists
 
 DIMENSIONS = {
     "dim_customer": schemas.DIM_CUSTOMER,
@@ -29,10 +30,15 @@ COMPACTED_BATCH_ID = -(1 << 62)  # batch id of rows moved by compaction
 FACT = "fact_sales"
 REJECTS = "rejects"
 RESOLVED = "rejects_resolved"
+LOADS = "loads"  # the load ledger
+STREAMS = "streams"  # the id range of each stream
+STREAM_IDS = 1 << 31  # ids in a range
+CLOSED = "loads_closed"  # batches whose facts were compacted
 SCHEMAS = {**DIMENSIONS, FACT: schemas.FACT_SALES, REJECTS: schemas.REJECTS,
-           RESOLVED: schemas.REJECTS_RESOLVED}
+           RESOLVED: schemas.REJECTS_RESOLVED, LOADS: schemas.LOADS, CLOSED: schemas.LOADS_CLOSED,
+           STREAMS: schemas.STREAMS}
 PARTITIONS = {FACT: ("year", "month", "batch_id"), REJECTS: ("batch_id",),
-              RESOLVED: ("resolved_in",)}
+              RESOLVED: ("resolved_in",), LOADS: ("batch_id",)}
 
 
 @dataclass
@@ -110,23 +116,49 @@ class Warehouse:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partition_cols).parquet(self.path(name)))
 
+    # -- load ledger ------------------------------------------------------
+    def record_load(self, batch_id: int, source: str, read: int, loaded: int, rejected: int, quarters) -> None:
+        """Write the ledger row of a finished batch (its own folder: a replay replaces it)."""
+        row = self.spark.createDataFrame([(source, read, loaded, rejected, list(quarters), batch_id)], SCHEMAS[LOADS])
+        row.drop("batch_id").coalesce(1).write.mode("overwrite").parquet(f"{self.path(LOADS)}/batch_id={batch_id}")
+
+    def stream_first_id(self, source: str) -> int:
+        """The first batch id of a stream: the start of the lowest range of ids that
+        neither another stream nor a recorded load has used, kept for its restarts."""
+        known = self.read(STREAMS).filter(F.col("source") == source).first()
+        if known is not None:
+            return known["first_id"]
+        used = (self.read(STREAMS).select("first_id")
+                .unionByName(self.read(LOADS).filter("batch_id >= 0").select(F.col("batch_id").alias("first_id")))
+                .select(F.expr(f"first_id div {STREAM_IDS}").alias("r")).distinct())
+        taken = {row["r"] for row in used.collect()}  # one per stream, and per 25 days of one-shot loads
+        first = next(r for r in range(len(taken) + 1) if r not in taken) * STREAM_IDS
+        self.append(STREAMS, self.spark.createDataFrame([(source, first)], SCHEMAS[STREAMS]).coalesce(1))
+        return first
+
+    def load_entry(self, batch_id: int):
+        """The ledger row of one batch, or None; reads that batch's folder only."""
+        path = f"{self.path(LOADS)}/batch_id={batch_id}"
+        if not path_exists(self.spark, path):
+            return None
+        return self.spark.read.schema(SCHEMAS[LOADS]).option("basePath", self.path(LOADS)).parquet(path).first()
+
     # -- maintenance --------------------------------------------------------
-    def compact_facts(self, year_months, upto_batch_id: int) -> str:
+    def compact_facts(self, year_months, upto_batch_id: int | None = None) -> str:
         """Merge the many small per-batch folders of the given (year, month)
         partitions into one folder per month.
 
-        Rows of batches up to ``upto_batch_id`` (committed, never replayed
-        again) move to ``COMPACTED_BATCH_ID``; rows of later batches keep
-        their id, so a replay of those batches still overwrites only its
-        own rows. The months' rows are first written to a staging table in
+        Rows of the batches that the ledger records as finished (with
+        ``upto_batch_id``, those up to it) move to ``COMPACTED_BATCH_ID``.
+        These batches are closed first, so running one of them again changes
+        nothing; rows of all others keep their id and stay replayable. Run it
+        while nothing else writes or reads the months. The months' rows are first written to a staging table in
         the shared checkpoint folder (this cuts the lineage, since the
         table is rewritten where it is read, and keeps a copy to restore
         from if the rewrite fails). Then one INSERT OVERWRITE with a
         partial static partition spec replaces exactly those months.
         Returns the staging path.
         """
-        from starmart.session import checkpoint_root
-
         spark = self.spark
         pairs = sorted({(int(y), int(m)) for y, m in year_months})
         if not pairs:
@@ -136,10 +168,14 @@ class Warehouse:
             c = (F.col("year") == y) & (F.col("month") == m)
             cond = c if cond is None else cond | c
         staging = f"{checkpoint_root(spark)}/starmart-compaction/{uuid.uuid4().hex[:12]}"
-        rows = self.read(FACT).filter(cond).withColumn(
-            "batch_id", F.when(F.col("batch_id") <= upto_batch_id, F.lit(COMPACTED_BATCH_ID))
-            .otherwise(F.col("batch_id")))
-        rows.write.parquet(staging)
+        finished = self.read(LOADS).select("batch_id")
+        if upto_batch_id is not None:
+            finished = finished.filter(F.col("batch_id") <= upto_batch_id)
+        self.append(CLOSED, finished.join(self.read(CLOSED), "batch_id", "left_anti").coalesce(1))
+        rows = (self.read(FACT).filter(cond)
+                .join(self.read(CLOSED).withColumn("_moves", F.lit(COMPACTED_BATCH_ID)), "batch_id", "left")
+                .withColumn("batch_id", F.coalesce("_moves", "batch_id")).drop("_moves"))
+        rows.select(*[f.name for f in SCHEMAS[FACT].fields]).write.parquet(staging)
         staged = spark.read.schema(SCHEMAS[FACT]).parquet(staging)
         table = f"starmart_fact_{uuid.uuid4().hex[:12]}"
         cols = ", ".join(f.name for f in SCHEMAS[FACT].fields if f.name not in ("year", "month", "batch_id"))

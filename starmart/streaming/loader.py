@@ -4,56 +4,73 @@
 micro-batch of the stream (``foreachBatch``):
 
   1. cleanse (trim ids, parse quantity and date, first failing rule);
-  2. left-join customer and product once and route every row: facts, or
-     rejects with a reason (nothing is silently skipped, nothing blocks);
-  3. write facts by (year, month, batch_id) and rejects by batch_id with
+  2. left-join customer and product and route every row: facts, or rejects
+     with a reason (nothing is silently skipped, nothing blocks). The result
+     is evaluated once and staged in the shared checkpoint folder (or cached);
+  3. add the new dates of the loading rows to ``dim_date``, before the facts
+     that refer to them;
+  4. write facts by (year, month, batch_id) and rejects by batch_id with
      dynamic partition overwrite: re-running a batch id rewrites the same
-     partitions, so a replay after a failure adds no duplicates (and a
-     replay whose rejects have meanwhile all resolved marks the old ones
-     resolved);
-  4. add the dates of the loaded facts to ``dim_date`` (insert-if-absent),
-     so no row is dropped for a date first seen after start-up.
-
-By default nothing is cached: facts and rejects each read the batch's
-input (a micro-batch re-reads only its own files), and new dates are read
-back from the fact files just written. With ``persist=True`` a batch is
-cached once instead (bounded by the trigger limits for a stream) and the
-new dates are written before the facts that refer to them.
+     partitions, so a replay after a failure adds no duplicates;
+  5. record the batch in the load ledger (``loads``): source, counts and the
+     quarters it touched. A batch costs the same whatever was loaded before.
+
+Exactly once: a rejected row is known by a hash of its raw text (equal rows of
+a batch always share one fate), so its identity does not depend on how files
+are split. A row that a retry has made a fact stays out of its own batch when
+that is replayed. An id recorded for one source is refused for another. A
+batch or retry whose facts were compacted is closed: running it again changes
+nothing. One writer per warehouse at a time is assumed.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from starmart.operators import cleanse as C
 from starmart.operators import dims as D
-from starmart.operators.enrich import enrich, facts, rejects, retryable
-from starmart.session import checkpoint_root
-from starmart.sources.warehouse import FACT, REJECTS, RESOLVED, Warehouse
+from starmart.operators.enrich import RAW_COLS, enrich, facts, rejects, retryable
+from starmart.session import checkpoint_root, delete_path, path_exists
+from starmart.sources.warehouse import CLOSED, FACT, LOADS, REJECTS, RESOLVED, Warehouse
+
+RETRY = "retry"
 
 
 @dataclass
 class BatchReport:
+    """``read`` is observed on the input; ``loaded`` and ``rejected`` are counted
+    on the routed rows. For a retry ``read`` counts the rows that resolved."""
+
     batch_id: int
     loaded: int
     rejected: int
+    read: int
+
+
+def row_identity():
+    """Identity of a raw transaction within its batch."""
+    return F.md5(F.to_json(F.struct(*RAW_COLS)))
+
 
-    @property
-    def read(self) -> int:
-        return self.loaded + self.rejected
+def source_of(raw: DataFrame) -> str:
+    """Name of a batch's input, for the ledger: its files, or "memory"."""
+    names = raw.inputFiles()
+    if not names:
+        return "memory"
+    return "files:" + hashlib.sha256("\n".join(sorted(names)).encode()).hexdigest()[:16]
 
 
 class WarehouseLoader:
     def __init__(self, warehouse: Warehouse, persist_batches: bool = False, retry_each_batch: bool = False,
                  lookup_partitions: int | None = None):
-        """``persist_batches`` caches each micro-batch for its outputs; by
-        default a batch re-reads its own (already landed) files instead,
-        which measured faster than building the cache. ``retry_each_batch``
+        """``persist_batches`` caches the routed rows of each micro-batch; by
+        default they are staged as Parquet. ``retry_each_batch``
         re-runs the lookups of open rejects after every micro-batch (rows
         wait in quarantine until their master row arrives); retries use
         negative batch ids, -(batch_id + 1), so they never collide with the
@@ -71,7 +88,6 @@ class WarehouseLoader:
         self.retry_each_batch = retry_each_batch
         self.lookup_partitions = lookup_partitions
         self._lookups: dict[str, DataFrame] = {}
-        self._last_batch: int | None = None
         self.reports: list[BatchReport] = []
 
     # -- master data -------------------------------------------------------
@@ -117,64 +133,69 @@ class WarehouseLoader:
         self.wh.append(name, new)
 
     # -- transactions --------------------------------------------------------
-    def process_batch(self, raw: DataFrame, batch_id: int, persist: bool = False) -> BatchReport:
+    def process_batch(self, raw: DataFrame, batch_id: int, persist: bool = False,
+                      source: str | None = None) -> BatchReport:
         """Load one batch of raw transactions as ``batch_id``.
 
-        ``dim_date`` receives the dates of the rows that load as facts.
-        With ``persist`` (micro-batches, bounded by the trigger) the
-        enriched rows are cached once: new dates go to ``dim_date`` before
-        any fact that refers to them, and facts and rejects are split from
-        the one cache. Without it (a one-shot load of any size) nothing is
-        cached: facts and rejects each read the input, and the new dates are
-        read back from the fact partitions just written (one column of this
-        batch's files) instead of a third pass over the input.
+        The routed rows are evaluated once: staged as Parquet in the shared
+        checkpoint folder (removed at the end), or cached with ``persist`` (for
+        micro-batches, bounded by the trigger). ``source`` names the input in
+        the ledger; by default it is derived from the input files.
         """
         wh = self.wh
-        t = C.cleanse_transactions(raw.withColumn("row_id", F.monotonically_increasing_id()))
-        cached = []
+        source = source or source_of(raw)
+        closed = self._closed_report(batch_id, source)
+        if closed:
+            self.reports.append(closed)
+            return closed
+        replay = path_exists(wh.spark, f"{wh.path(REJECTS)}/batch_id={batch_id}")
+        seen = Observation()
+        t = C.cleanse_transactions(raw.observe(seen, F.count(F.lit(1)).alias("n"))
+                                   .withColumn("row_id", row_identity()))
+        routed = enrich(t, self._lookup("dim_customer"), self._lookup("dim_product"))
+        if replay:  # rows that a retry made facts meanwhile
+            late = (wh.read(RESOLVED).filter((F.col("batch_id") == batch_id) & (F.col("resolved_in") != batch_id))
+                    .select("row_id", F.lit(C.LATE_MASTER).alias("_late")).distinct())
+            routed = routed.join(late, "row_id", "left").withColumn(
+                "reject_reason", F.coalesce("reject_reason", "_late")).drop("_late")
+        routed = routed.withColumn("loads", F.col("reject_reason").isNull())
+        staging = f"{checkpoint_root(wh.spark)}/starmart-batch/{uuid.uuid4().hex[:12]}"
         if persist:
-            t = t.persist(StorageLevel.MEMORY_AND_DISK)
-            cached.append(t)
+            routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
+        else:
+            routed.write.partitionBy("loads").parquet(staging)
+            routed = wh.spark.read.schema(routed.schema).parquet(staging)
+        days = (routed.groupBy("loads", F.when(F.col("loads"), F.col("sale_date")).alias("sale_date"))
+                .agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK))
         try:
-            enriched = enrich(t, self._lookup("dim_customer"), self._lookup("dim_product"))
-            if persist:
-                enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
-                cached.append(enriched)
-                loading = enriched.filter(F.col("reject_reason").isNull())
-                wh.append("dim_date", D.new_dates(loading, wh.read("dim_date")))
-            f = facts(enriched, batch_id)
-            r = rejects(enriched, batch_id)
-            # A replay of this batch id finds its reject partition written. The
-            # batch right after the one this loader just finished is always new
-            # (a batch starts only after its predecessor committed): no check.
-            follows = self._last_batch is not None and batch_id == self._last_batch + 1
-            replay = not follows and self._rejects_of(batch_id).limit(1).count() > 0
-            # AQE rebalances by (year, month): it coalesces small months and
-            # splits large ones, so each output file has a sensible size and a
-            # task writes few folders, sequentially (sorted by date inside).
-            f = f.hint("rebalance", "year", "month").sortWithinPartitions("year", "month", "date_key")
-            wh.overwrite_partitions(FACT, f, "year", "month", "batch_id")
-            wh.overwrite_partitions(REJECTS, r, "batch_id")
-            if not persist:
-                written = wh.read(FACT).filter(F.col("batch_id") == batch_id)
-                wh.append("dim_date", D.new_dates(D.dates_of_facts(written), wh.read("dim_date")))
-            if replay and r.limit(1).count() == 0:
-                # Dimensions only grow, so a replay rejects a subset of what the
-                # first run rejected: a non-empty reject set overwrote the old
-                # partition; an empty one wrote nothing and left it. Its rows
-                # loaded this time: mark them resolved by this batch.
+            loaded, rejected, quarters = self._summary(days)
+            self._add_dates(days.filter("loads"))
+            if loaded:
+                self._write_facts(routed.filter("loads"), batch_id)
+            if rejected:
+                wh.overwrite_partitions(REJECTS, rejects(routed.filter(~F.col("loads")), batch_id), "batch_id")
+            elif replay:
+                # Dimensions only grow, so a replay rejects a subset of what the first
+                # run rejected. All of it loaded now, and an empty write leaves the old
+                # partition: its rows are marked resolved by this batch.
                 self._mark_resolved(self._rejects_of(batch_id).select("batch_id", "row_id"), batch_id)
-            report = BatchReport(batch_id, *self._written_counts(batch_id))
-            self._last_batch = batch_id
+            report = BatchReport(batch_id, loaded, rejected, int(seen.get["n"]))
+            wh.record_load(batch_id, source, report.read, loaded, rejected, quarters)
         finally:
-            for df in cached:
-                df.unpersist()
+            days.unpersist()
+            if persist:
+                routed.unpersist()
+            else:
+                delete_path(wh.spark, staging)
         self.reports.append(report)
         return report
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        """``foreachBatch`` entry point."""
-        self.process_batch(df, batch_id, persist=self.persist_batches)
+        """``foreachBatch`` entry point for a stream of one's own."""
+        self.micro_batch(df, batch_id, "stream")
+
+    def micro_batch(self, df: DataFrame, batch_id: int, source: str) -> None:
+        self.process_batch(df, batch_id, persist=self.persist_batches, source=source)
         if self.retry_each_batch:
             self.retry_rejects(-(batch_id + 1))
 
@@ -185,7 +206,24 @@ class WarehouseLoader:
         ``retry_batch_id`` and are recorded as resolved, so they are not
         retried or counted as open again. Re-running the same retry id is
         idempotent. Retry ids share the fact's ``batch_id`` space, so they
-        must differ from the stream's batch ids (negative ids are safe)."""
+        must differ from the loads' batch ids (negative ids are safe).
+
+        Rows are marked resolved before they are written as facts, and a retry
+        that did not reach the ledger is finished first by the next one."""
+        closed = self._closed_report(retry_batch_id, RETRY)
+        if closed:
+            self.reports.append(closed)
+            return closed
+        marked = self.wh.read(RESOLVED).filter("batch_id != resolved_in").select(F.col("resolved_in").alias("batch_id"))
+        cut_off = marked.distinct().join(self.wh.read(LOADS).select("batch_id"), "batch_id", "left_anti")
+        for row in cut_off.collect():  # retries that were interrupted: one at most per writer
+            if row["batch_id"] != retry_batch_id:
+                self._retry(row["batch_id"])
+        report = self._retry(retry_batch_id)
+        self.reports.append(report)
+        return report
+
+    def _retry(self, retry_batch_id: int) -> BatchReport:
         wh = self.wh
         resolved = wh.read(RESOLVED).filter(F.col("resolved_in") != retry_batch_id)
         open_ = retryable(wh.read(REJECTS), resolved)
@@ -194,12 +232,52 @@ class WarehouseLoader:
         fixed = (enrich(t, self._lookup("dim_customer"), self._lookup("dim_product"))
                  .filter(F.col("reject_reason").isNull())
                  .checkpoint(eager=True))  # cut lineage: we write where we read
-        wh.append("dim_date", D.new_dates(fixed, wh.read("dim_date")))
-        wh.overwrite_partitions(FACT, facts(fixed, retry_batch_id), "year", "month", "batch_id")
-        self._mark_resolved(fixed.select(F.col("src_batch_id").alias("batch_id"), "row_id"), retry_batch_id)
-        report = BatchReport(retry_batch_id, self._written_counts(retry_batch_id)[0], 0)
-        self.reports.append(report)
-        return report
+        days = fixed.groupBy(F.lit(True).alias("loads"), "sale_date").agg(F.count(F.lit(1)).alias("n"))
+        loaded, _, quarters = self._summary(days)
+        if loaded:
+            self._mark_resolved(fixed.select(F.col("src_batch_id").alias("batch_id"), "row_id"), retry_batch_id)
+            self._add_dates(fixed)
+            self._write_facts(fixed, retry_batch_id)
+        wh.record_load(retry_batch_id, RETRY, loaded, loaded, 0, quarters)
+        return BatchReport(retry_batch_id, loaded, 0, loaded)
+
+    # -- steps --------------------------------------------------------------
+    def _closed_report(self, batch_id: int, source: str) -> BatchReport | None:
+        """The recorded report of a compacted batch (None: the batch may run).
+        Refuses an id that the ledger holds for other input."""
+        entry = self.wh.load_entry(batch_id)
+        if entry is None:
+            return None
+        if entry["source"] != source:
+            raise ValueError(f"batch id {batch_id} already holds {entry['source']}; {source} needs an id of its own")
+        if self.wh.read(CLOSED).filter(F.col("batch_id") == batch_id).isEmpty():
+            return None
+        return BatchReport(batch_id, entry["loaded_rows"], entry["rejected_rows"], entry["read_rows"])
+
+    @staticmethod
+    def _summary(days: DataFrame) -> tuple[int, int, list[int]]:
+        """(loaded, rejected, touched quarters as yyyyq) of routed rows counted by day."""
+        quarter = (F.year("sale_date") * 10 + F.quarter("sale_date")).cast("int")
+        row = days.agg(F.sum(F.when(F.col("loads"), F.col("n"))).alias("f"),
+                       F.sum(F.when(~F.col("loads"), F.col("n"))).alias("r"),
+                       F.collect_set(F.when(F.col("loads"), quarter)).alias("q")).first()
+        return int(row["f"] or 0), int(row["r"] or 0), sorted(row["q"])
+
+    def _add_dates(self, loading: DataFrame) -> None:
+        """Dates that ``dim_date`` lacks; no file when there is none."""
+        new = D.new_dates(loading, self.wh.read("dim_date")).coalesce(1).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not new.isEmpty():
+                self.wh.append("dim_date", new)
+        finally:
+            new.unpersist()
+
+    def _write_facts(self, loading: DataFrame, batch_id: int) -> None:
+        # AQE rebalances by (year, month): it coalesces small months and splits
+        # large ones, so each output file has a sensible size and a task writes
+        # few folders, sequentially (sorted by date inside).
+        f = facts(loading, batch_id).hint("rebalance", "year", "month").sortWithinPartitions("year", "month", "date_key")
+        self.wh.overwrite_partitions(FACT, f, "year", "month", "batch_id")
 
     _LOOKUP_COLS = {"dim_customer": ("Customer_ID", ["Customer_ID", "customer_key"]),
                     "dim_product": ("Product_ID", ["Product_ID", "product_key", "price"])}
@@ -230,20 +308,7 @@ class WarehouseLoader:
 
     def _mark_resolved(self, rows: DataFrame, resolved_in: int) -> None:
         self.wh.overwrite_partitions(RESOLVED, rows.select(
-            "batch_id", "row_id", F.lit(resolved_in).cast("long").alias("resolved_in")), "resolved_in")
-
-    def _written_counts(self, batch_id: int) -> tuple[int, int]:
-        """(facts, rejects) written for ``batch_id``: counted from the batch's
-        own partitions (Parquet row counts of a few files), so the numbers
-        are what the tables hold, also after a replay."""
-        b = F.col("batch_id") == batch_id
-        own = self.wh.read(RESOLVED).filter(F.col("resolved_in") == batch_id).select("batch_id", "row_id")
-        open_ = self._rejects_of(batch_id).join(own, ["batch_id", "row_id"], "left_anti")
-        row = (self.wh.read(FACT).filter(b).select(F.lit(1).alias("f"), F.lit(0).alias("r"))
-               .unionByName(open_.select(F.lit(0).alias("f"), F.lit(1).alias("r")))
-               .agg(F.coalesce(F.sum("f"), F.lit(0)).alias("f"), F.coalesce(F.sum("r"), F.lit(0)).alias("r"))
-               .first())
-        return int(row["f"]), int(row["r"])
+            "batch_id", "row_id", F.lit(resolved_in).cast("long").alias("resolved_in")).distinct(), "resolved_in")
 
     def open_rejects(self) -> DataFrame:
         rej = self.wh.read(REJECTS)

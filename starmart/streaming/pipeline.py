@@ -55,16 +55,19 @@ def start_loader(spark: SparkSession, warehouse: Warehouse, landing_dir: str,
 
     Micro-batches are bounded by bytes, or by files if ``max_files_per_trigger`` is
     given. The checkpoint lives in the warehouse, one per landing folder, so a new
-    process goes on where the last one stopped."""
+    process goes on where the last one stopped. The micro-batches' ids lie in a range
+    of the landing folder's own, so streams and one-shot loads never share one."""
     loader = loader or WarehouseLoader(warehouse)
     source = hashlib.sha256(landing_dir.rstrip("/").encode()).hexdigest()[:16]
+    first_id = warehouse.stream_first_id(f"stream:{source}")
     ckpt = checkpoint_location or f"{warehouse.root.rstrip('/')}/_checkpoints/{source}"
     if max_files_per_trigger:
         max_bytes_per_trigger = None  # the two limits are exclusive
     stream = stream_transactions(spark, landing_dir, fmt=fmt,
                                  max_files_per_trigger=max_files_per_trigger,
                                  max_bytes_per_trigger=max_bytes_per_trigger, glob=glob)
-    w = stream.writeStream.foreachBatch(loader).option("checkpointLocation", ckpt)
+    w = stream.writeStream.foreachBatch(
+        lambda df, n: loader.micro_batch(df, first_id + n, f"stream:{source}")).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start(), loader
 
