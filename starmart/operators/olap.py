@@ -171,32 +171,29 @@ def flag_spikes(daily: DataFrame, entity, measure: str, factor: float = 2.0,
 # -- baskets ----------------------------------------------------------------------
 
 def co_occurrence(df: DataFrame, basket: str, item: str, hot_basket_items: int = 2048,
-                  salts: int = 16) -> DataFrame:
+                  salts: int = 1) -> DataFrame:
     """How often two different items share a basket: ``(item_1, item_2, n)``
     with item_1 < item_2, counting row pairs (a duplicated line multiplies).
 
     Lines are first reduced to ``(basket, item) -> count`` so duplicates
     are never paired row by row: the pair weight is count_1 x count_2.
-    A basket holding more than ``hot_basket_items`` distinct items is split:
-    its left side is spread over ``salts`` buckets by item hash and its
-    right side copied into each bucket, so its pairs are produced by
-    ``salts`` tasks instead of one. Ordinary baskets are not copied.
+    Every basket's items are hashed into buckets of about ``hot_basket_items``
+    (``salts`` buckets at least), and each pair of buckets is joined by itself:
+    an ordinary basket has one bucket, and a basket of any size is paired in
+    pieces of bounded size, each line copied once per bucket. The basket's size
+    is a window count, so the input is read and reduced once.
     Partial aggregation sums pair weights inside each task before the
-    shuffle on the pair.
+    shuffle on the pair. A null item pairs with nothing.
     """
-    lines = df.groupBy(basket, item).agg(F.count(F.lit(1)).alias("_n"))
-    # Only the hot baskets are joined back (at most distinct lines /
-    # hot_basket_items of them, usually none): AQE sees the real size of this
-    # set at run time and broadcasts it when small, else joins by shuffle.
-    hot_set = (lines.groupBy(basket).agg(F.count(F.lit(1)).alias("_k"))
-               .filter(F.col("_k") > hot_basket_items).select(basket, F.lit(True).alias("_hot")))
-    lines = lines.join(hot_set, basket, "left")
-    hot = F.coalesce(F.col("_hot"), F.lit(False))
-    left = lines.select(F.col(basket), F.col(item).alias("_i1"), F.col("_n").alias("_n1"),
-                        F.when(hot, F.pmod(F.hash(F.col(item)), F.lit(salts))).otherwise(F.lit(0)).alias("_salt"))
-    right = lines.select(F.col(basket), F.col(item).alias("_i2"), F.col("_n").alias("_n2"),
-                         F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1)))
-                                   .otherwise(F.array(F.lit(0)))).alias("_salt"))
-    pairs = left.join(right, [basket, "_salt"]).filter(F.col("_i1") < F.col("_i2"))
-    return (pairs.groupBy(F.col("_i1").alias(f"{item}_1"), F.col("_i2").alias(f"{item}_2"))
+    lines = df.filter(F.col(item).isNotNull()).groupBy(basket, item).agg(F.count(F.lit(1)).alias("_n"))
+    lines = lines.withColumn("_g", F.greatest(F.lit(salts), F.ceil(
+        F.count(F.lit(1)).over(Window.partitionBy(basket)) / hot_basket_items)).cast("int"))
+    lines = lines.withColumn("_b", F.pmod(F.xxhash64(item), F.col("_g")).cast("int"))
+    left = lines.select(F.col(basket), F.col(item).alias("_i1"), F.col("_n").alias("_n1"), F.col("_b").alias("_b1"),
+                        F.explode(F.sequence(F.col("_b"), F.col("_g") - 1)).alias("_b2"))
+    right = lines.select(F.col(basket), F.col(item).alias("_i2"), F.col("_n").alias("_n2"), F.col("_b").alias("_b2"),
+                         F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("_b1"))
+    pairs = (left.join(right, [basket, "_b1", "_b2"])
+             .filter((F.col("_b1") < F.col("_b2")) | (F.col("_i1") < F.col("_i2"))))
+    return (pairs.groupBy(F.least("_i1", "_i2").alias(f"{item}_1"), F.greatest("_i1", "_i2").alias(f"{item}_2"))
             .agg(F.sum(F.col("_n1") * F.col("_n2")).alias("n")))

@@ -86,6 +86,14 @@ def test_co_occurrence_hot_basket_split_is_exact(spark):
     assert got == _pairs_brute(lines)
 
 
+def test_co_occurrence_buckets_and_nulls(spark):
+    lines = [("o1", f"p{i % 25:02d}") for i in range(60)] + [("o2", "p01"), ("o2", "p02")]
+    df = spark.createDataFrame(lines + [("o1", None), ("o2", None)], "o string, p string")
+    for size in (1, 4, 2048):  # one item a bucket; a few; all in one
+        got = {(r.p_1, r.p_2): r.n for r in olap.co_occurrence(df, "o", "p", hot_basket_items=size).collect()}
+        assert got == _pairs_brute(lines)
+
+
 def test_conditional_split_pivot_drill_slice(spark):
     df = spark.createDataFrame(
         [("a", 2017, 1, 1, 10.0), ("a", 2017, 3, 7, 5.0), ("b", 2017, 4, 11, 2.0), ("b", 2018, 1, 2, 1.0)],
