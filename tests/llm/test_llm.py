@@ -260,6 +260,36 @@ def test_randomness_battery_and_thresholds():
     assert len(secrets.find(found, {s: 0.001 for s in range(25)})) > 50
 
 
+@pytest.mark.parametrize("n", [1, 5, 20])
+def test_few_secrets_are_found_whatever_else_the_corpus_holds(spark, n):
+    rng = random.Random(n)
+    keys = {}
+    for encoding, size in (("base62", 40), ("base36", 24), ("base32", 32)):
+        some = ("".join(rng.choices(secrets.ALPHABETS[encoding], k=size)) for _ in range(10 * n))
+        fit = [k for k in some if secrets.infer_encoding(k) == encoding and secrets.randomness(k, encoding) >= secrets.MIN_P]
+        low = next(k for k in fit if secrets.randomness(k, encoding) < 0.5)
+        keys |= {len(keys) + i: k for i, k in enumerate([low, *[k for k in fit if k != low][: n - 1]])}
+    rows = [(i, f"{prose(rng, 20)} {k} {prose(rng, 20)}") for i, k in keys.items()] + [(1000 + i, prose(rng, 30)) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    got = {r["doc_id"]: [texts[r["doc_id"]][s["start"] : s["end"]] for s in r["spans"] if s["kind"] == "random"] for r in secrets.scan(df).collect()}
+    assert got == {i: [keys[i]] if i in keys else [] for i in texts}
+    assert all("[SECRET]" in r["text"] and keys[r["doc_id"]] not in r["text"] for r in secrets.redact(df).where("doc_id < 1000").collect())
+
+
+def test_thresholds_need_evidence():
+    rng = np.random.default_rng(3)
+    lost = 0
+    for n in (1, 2, 5, 20, 50, 200) * 100:
+        counts = np.bincount(np.searchsorted(secrets.BINS, rng.random(n), "right") - 1, minlength=len(secrets.BINS))
+        lost += secrets.choose_thresholds(counts[None], 0.05)[0] > secrets.MIN_P
+    assert lost <= 5
+    full = np.diff([*secrets.BINS, 1.0])[None] * 1000
+    full[0, 6:9] += 300  # false finds with p-values from 0.001 to 0.02
+    assert secrets.choose_thresholds(full, 0.05)[0] >= 0.01
+    assert abs(secrets.at_least(8, 10, 0.5) - 56 / 1024) < 1e-12
+
+
 def test_license_scan(spark, docs, empty):
     phrases = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
     rows = docs.withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.lit(" zz"))).select("doc_id", "text").collect()
