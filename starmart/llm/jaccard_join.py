@@ -152,6 +152,26 @@ def prefix_rows(words: int, percent: int, seed: int, order: Order):
     return run
 
 
+def class_rows(words: int, seed: int):
+    """mapInArrow function: (text) to (text, class), of the texts of a class mostly one a task."""
+
+    def run(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            at, key = [], []
+            for i, x in enumerate(shingle_sets(batch.column(0), words, seed)):
+                if not len(x) or (c := _class_key(x)) in seen:
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(c)
+                at.append(i)
+                key.append(c)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(key, pa.int64())], names=["text", "class"])
+
+    return run
+
+
 def segment_rows(words: int, seed: int, order: Order):
     """mapInArrow function: (text, class) to (class, fragment, segment) rows."""
 
@@ -275,11 +295,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         .withColumn("next_n", F.lead("n").over(by_size))
         .where("reached >= n or next_n <= reach").select("shingle", "class", "place"), "jaccard-lists-1")
 
-    # one text per class that shares a prefix shingle with another class
-    chosen = (rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-              .join(lists.select("class").distinct(), "class", "left_semi"))
+    # one text per class that shares a prefix shingle with another class (by the text's
+    # own key: a doc_id may be null or stand on rows of several classes)
     segments = staged(
-        texts.join(chosen, "doc_id").dropDuplicates(["class"]).select("text", "class")
+        texts.select("text").mapInArrow(class_rows(words, seed), "text string, class long")
+        .join(lists.select("class").distinct(), "class", "left_semi").dropDuplicates(["class"]).select("text", "class")
         .mapInArrow(segment_rows(words, seed, order), "class long, fragment int, segment array<long>"), "jaccard-segments")
 
     of_shingle = Window.partitionBy("shingle")

@@ -170,6 +170,38 @@ def test_jaccard_join(spark, docs, empty):
     assert [r["component_id"] for r in null] == [7]
 
 
+@pytest.mark.parametrize("ids", [[None], [7], [7, None, 8]])
+def test_jaccard_join_of_texts_under_null_and_repeated_ids(spark, ids):
+    rng = random.Random(12)
+    rows = []
+    for _ in range(6):  # groups of near copies, all under the same few ids
+        core = prose(rng, 120).split()
+        for i in range(4):
+            w = list(core)
+            w[rng.randrange(len(w))] = f"edit{i}"
+            rows.append((ids[len(rows) % len(ids)], " ".join(w)))
+    rows += [(100 + i, prose(rng, 50)) for i in range(5)] + [(200, rows[0][1] + " end")]
+    found = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    plain = jaccard_brute([(i, t) for i, (_, t) in enumerate(rows)])
+    sizes = collections.Counter(r[2] for r in plain)
+    assert sorted(sizes.values()) == [1] * 5 + [4] * 5 + [5]
+    want = []
+    for i, n, root in plain:
+        known = [rows[j][0] for j, _, other in plain if other == root and rows[j][0] is not None]
+        want.append((rows[i][0], n, min(known, default=None)))
+    assert collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == collections.Counter(want)
+
+
+def test_jaccard_join_names_near_copies_under_one_id_by_their_partner(spark):
+    rng = random.Random(13)
+    rows = []
+    for i in range(8):  # one id on all originals; each has a near copy with an id of its own, smaller than it
+        text = prose(rng, 100)
+        rows += [(50, text), (i, text + " end")]
+    found = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r["component_id"] for r in found) == sorted([*range(8)] * 2)
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1060)] + [(5000, i) for i in range(5001, 5400)]
