@@ -8,11 +8,17 @@ The posterior of a language L for a row multiplies
 * the host's prior P(L | host): the host's language counts, smoothed toward the
   prior of its parent (the address suffix), which is smoothed toward the corpus.
 All counts are grouped aggregations over all rows; what reaches the driver has a
-fixed size (languages x buckets, and the values of the declared language that name
-one of them). Hosts and suffixes stay distributed and are joined.
+fixed size (languages x buckets, and languages x languages; there are at most 26 x 26 codes). Hosts and suffixes stay distributed and are joined.
+
+The languages are the two-letter codes declared on at least ``MIN_ROWS`` rows with
+text, whatever they are (the codes of no language, ``NO_LANGUAGE``, count as null). A
+further hypothesis, ``und``, stands for texts of none of them: each of its trigrams is
+as likely as FIT above an unseen one, and it has its own counts by declared language,
+suffix and host. Rows whose largest posterior is that of ``und`` are rejected, as are
+rows without a single trigram; so a language declared on fewer rows, or on none, is
+``und`` unless its text fits another one. Without any language (no row declares one,
+or too few) nothing can be told apart: rows with trigrams are ``und`` and accepted.
 
-Texts whose trigrams are as good as unknown to all languages are ``und``; such rows are
-rejected, as are rows without a single trigram. All other rows are accepted.
 Null declared languages, suffixes and hosts are no evidence; null and empty texts
 are ``und``. Rows that repeat a key are rows of their own. An empty table gives no
 rows. ``evidence`` names the columns, others are ignored.
@@ -28,8 +34,11 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, staged, table
 
-LANGUAGES = ("en", "fr", "de", "es")
 UNKNOWN = "und"
+#: Rows with text that must declare a language for it to be one.
+MIN_ROWS = 10
+#: Declared values that name no language.
+NO_LANGUAGE = ("und", "unknown", "unk", "mul", "mis", "zxx", "none", "null", "n/a")
 BUCKETS = 1 << 14
 BLOCK_BYTES = 2_000_000
 TEMPER = 0.25
@@ -38,13 +47,14 @@ SMOOTH = 0.5
 HOST_STRENGTH, SUFFIX_STRENGTH = 20.0, 100.0
 #: Probability mass a language's model leaves to unseen trigrams.
 UNSEEN = 0.02
-#: A text whose mean log-likelihood per trigram is at most so far above that of unseen
-#: trigrams, under every language, fits none.
+#: A trigram of no language is so far above an unseen one, in log-likelihood.
 FIT = 2.0
 
 
 def evidence(df: DataFrame, key: str, text: Column, declared: Column, suffix: Column, host: Column) -> DataFrame:
-    return df.select(F.col(key).cast("long").alias("key"), text.alias("text"), F.lower(F.substring(declared, 1, 2)).alias("declared"),
+    declared = F.lower(F.trim(declared))
+    declared = F.when(~declared.isin(*NO_LANGUAGE) & (declared != ""), F.substring(declared, 1, 2))
+    return df.select(F.col(key).cast("long").alias("key"), text.alias("text"), declared.alias("declared"),
                      F.lower(suffix).alias("suffix"), F.lower(host).alias("host"))
 
 
@@ -80,114 +90,130 @@ def _trigrams(texts: pa.Array):
         at += n
 
 
+def declared_languages(rows: DataFrame, least: int = MIN_ROWS) -> tuple[str, ...]:
+    """The declared codes of at least ``least`` rows with a trigram, the most frequent first."""
+    known = rows.where(F.col("declared").rlike("^[a-z]{2}$") & (F.octet_length("text") > 2))
+    found = known.groupBy("declared").agg(F.count("*").alias("n")).where(F.col("n") >= least).collect()  # at most 26 x 26 rows
+    return tuple(r["declared"] for r in sorted(found, key=lambda r: (-r["n"], r["declared"])))
+
+
 def count_rows(languages: tuple[str, ...]):
     """mapInArrow function: (text, declared) to the task's (language, bucket, n)."""
 
     def run(batches):
         n = np.zeros((len(languages), BUCKETS), np.int64)
+        place = {x: i for i, x in enumerate(languages)}
         for batch in batches:
-            declared = batch.column(1).to_pylist()
+            declared = [place.get(x) for x in batch.column(1).to_pylist()]
             for at, rows, buckets, cuts in _trigrams(batch.column(0)):
                 for i in range(rows):
-                    if declared[at + i] in languages and cuts[i + 1] - cuts[i] > 2:
+                    if declared[at + i] is not None and cuts[i + 1] - cuts[i] > 2:
                         x = buckets[cuts[i] : cuts[i + 1] - 2]
-                        np.add.at(n[languages.index(declared[at + i])], x, 1)
+                        np.add.at(n[declared[at + i]], x, 1)
         where, bucket = np.nonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(where), pa.array(bucket), pa.array(n[where, bucket])], names=["language", "bucket", "n"])
 
     return run
 
 
-def text_models(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray:
+def text_models(rows: DataFrame, languages: tuple[str, ...]) -> np.ndarray:
     """Log-probability of each bucket under each language, counted over all rows."""
     n = np.zeros((len(languages), BUCKETS))
     counted = rows.select("text", "declared").mapInArrow(count_rows(languages), "language long, bucket long, n long")
-    for r in counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).collect():  # languages x buckets at most
-        n[r["language"], r["bucket"]] = r["n"]
+    found = counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toArrow()  # languages x buckets at most
+    n[found["language"].to_numpy(), found["bucket"].to_numpy()] = found["n"].to_numpy()
     share = n / np.maximum(1, n.sum(axis=1, keepdims=True))
     return np.log((1 - UNSEEN) * share + UNSEEN / BUCKETS)
 
 
 def likelihood_rows(models: np.ndarray):
     """mapInArrow function: evidence rows to the same without text, with the number of
-    trigrams and each language's mean log-likelihood."""
-    columns = np.ascontiguousarray(models.T)
+    trigrams and the mean log-likelihood under each language and under none (the last)."""
+    width = len(models) + 1
 
     def run(batches):
         for batch in batches:
             means, sizes = [], []
             for _, _, buckets, cuts in _trigrams(batch.column(batch.schema.get_field_index("text"))):
-                sums = np.zeros((len(buckets) + 3, models.shape[0]))
-                np.cumsum(columns[buckets], axis=0, out=sums[1 : len(buckets) + 1])
                 size = np.maximum(0, np.diff(cuts) - 2)
                 lo = np.minimum(cuts[:-1], len(buckets))
-                means.append((sums[lo + size] - sums[lo]) / np.maximum(1, size)[:, None])
+                mean = np.full((len(size), width), float(np.log(UNSEEN / BUCKETS)) + FIT)
+                for i, model in enumerate(models):  # memory does not follow the number of languages
+                    sums = np.zeros(len(buckets) + 1)
+                    np.cumsum(model[buckets], out=sums[1:])
+                    mean[:, i] = (sums[lo + size] - sums[lo]) / np.maximum(1, size)
+                means.append(mean)
                 sizes.append(size)
-            mean = np.concatenate(means) if means else np.zeros((0, models.shape[0]))
+            mean = np.concatenate(means) if means else np.zeros((0, width))
             size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
             keep = [i for i, c in enumerate(batch.schema.names) if c != "text"]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(mean) + 1, dtype=np.int32) * models.shape[0]), pa.array(mean.ravel()))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(mean) + 1, dtype=np.int32) * width), pa.array(mean.ravel()))
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in keep], pa.array(size), lists],
                                              names=[*[batch.schema.names[i] for i in keep], "n", "mean"])
 
     return run
 
 
-def _argmax(scores: Column, languages: tuple[str, ...]) -> Column:
-    """The language of the largest score; ties go to the one named first."""
-    return F.element_at(F.array(*[F.lit(x) for x in languages]), F.array_position(scores, F.array_max(scores)).cast("int"))
+def _argmax(scores: Column, names: Column) -> Column:
+    """The name of the largest score; ties go to the one named first."""
+    return F.element_at(names, F.array_position(scores, F.array_max(scores)).cast("int"))
 
 
-def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
+def identify(rows: DataFrame, least: int = MIN_ROWS) -> DataFrame:
     """Per row of ``evidence``: key, lang, posterior, text_lang, declared, accepted."""
     small_batches(rows.sparkSession)
+    languages = declared_languages(rows, least)
+    if not languages:
+        return rows.select("key", F.lit(UNKNOWN).alias("lang"), F.lit(1.0).alias("posterior"), F.lit(UNKNOWN).alias("text_lang"), "declared",
+                           F.coalesce(F.octet_length("text") > 2, F.lit(False)).alias("accepted"))
+    all_ = (*languages, UNKNOWN)
+    place = {x: i for i, x in enumerate(all_)}
+    array = lambda x: F.array(*[F.lit(v) for v in x])
+    names = array(all_)
     models = text_models(rows, languages)
-    blank = float(np.log(UNSEEN / BUCKETS)) + FIT
     scored = staged(rows.mapInArrow(likelihood_rows(models), "key long, declared string, suffix string, host string, n long, mean array<double>")
-                    .withColumn("best", F.array_max("mean"))
-                    .withColumn("text_lang", F.when((F.col("n") == 0) | (F.col("best") < blank), UNKNOWN).otherwise(_argmax(F.col("mean"), languages))), "language-text")
-    counts = scored.groupBy("text_lang", "declared", "suffix", "host").agg(F.count("*").alias("n"))
-    known = counts.where(F.col("text_lang") != UNKNOWN)
-
-    def table_of(column: str) -> np.ndarray:
-        """P(value of column | language) for the values that name a language; others share the rest."""
-        n = np.full((len(languages), len(languages) + 1), SMOOTH)
-        value = F.when(F.col(column).isin(*languages), F.col(column)).otherwise("")
-        for r in known.where(F.col(column).isNotNull()).groupBy("text_lang", value.alias("value")).agg(F.sum("n").alias("n")).collect():
-            n[languages.index(r["text_lang"]), languages.index(r["value"]) if r["value"] else -1] += r["n"]
-        return np.log(n / n.sum(axis=1, keepdims=True))
-
-    declared = table_of("declared")
-    per = lambda f: F.array(*[f(i, x) for i, x in enumerate(languages)])
-    sums = [F.sum(F.when(F.col("text_lang") == x, F.col("n")).otherwise(0)).cast("double").alias(f"n{i}") for i, x in enumerate(languages)]
-    total = known.agg(*sums).first()  # one row
-    corpus = np.array([float(total[i] or 0) for i in range(len(languages))]) + SMOOTH
+                    .withColumn("text_lang", F.when(F.col("n") == 0, UNKNOWN).otherwise(_argmax(F.col("mean"), names))), "language-text")
+    known = scored.where("n > 0").groupBy("text_lang", "declared", "suffix", "host").agg(F.count("*").alias("n"))
+
+    # P(declared | language), for the values that are languages; others share the rest
+    value = F.when(F.col("declared").isin(*languages), F.col("declared")).otherwise("")
+    said = np.full((len(all_), len(all_)), SMOOTH)
+    for r in known.where("declared is not null").groupBy("text_lang", value.alias("value")).agg(F.sum("n").alias("n")).collect():
+        said[place[r["text_lang"]], place.get(r["value"], -1)] += r["n"]
+    said = np.log(said / said.sum(axis=1, keepdims=True))
+    said = rows.sparkSession.createDataFrame(
+        [(x or "", said[:, i].tolist()) for i, x in enumerate((*languages, ""))], "v string, p_declared array<double>")
+
+    corpus = np.full(len(all_), SMOOTH)
+    for r in known.groupBy("text_lang").agg(F.sum("n").alias("n")).collect():  # one row a language
+        corpus[place[r["text_lang"]]] += r["n"]
     corpus = (corpus / corpus.sum()).tolist()
 
+    def shares(by: list[str], strength: float, parent: Column, name: str) -> DataFrame:
+        """P(language | by), from counts and ``strength`` rows' worth of the parent's shares."""
+        counts = known.where(F.col(by[0]).isNotNull()).groupBy(*by, "text_lang").agg(F.sum("n").alias("n"))
+        counts = counts.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("text_lang", "n"))).alias("n"), F.sum("n").alias("all_n"))
+        if "suffix" in by[1:]:
+            counts = counts.join(suffixes, F.col("suffix") == F.col("s"), "left")
+        return counts.select(*by, F.transform(names, lambda x, i: (
+            F.coalesce(F.element_at("n", x), F.lit(0)) + strength * F.get(parent, i)) / (F.col("all_n") + strength)).alias(name))
+
     # P(language | suffix), smoothed toward the corpus, gives P(suffix | language) by the corpus shares
-    suffixes = known.where("suffix is not null").groupBy("suffix").agg(*sums)
-    all_n = sum((F.col(f"n{i}") for i in range(1, len(languages))), F.col("n0"))
-    suffixes = suffixes.select(F.col("suffix").alias("s"), per(lambda i, _: (F.col(f"n{i}") + SUFFIX_STRENGTH * corpus[i]) / (all_n + SUFFIX_STRENGTH)).alias("p_suffix"))
-    hosts = known.where("host is not null").groupBy("host", "suffix").agg(*sums)
-    hosts = (hosts.join(suffixes, F.col("suffix") == F.col("s"), "left")
-             .withColumn("parent", F.coalesce("p_suffix", per(lambda i, _: F.lit(corpus[i]))))
-             .select(F.col("host").alias("h"), F.col("suffix").alias("hs"),
-                     per(lambda i, _: (F.col(f"n{i}") + HOST_STRENGTH * F.col("parent")[i]) / (all_n + HOST_STRENGTH)).alias("p_host")))
+    suffixes = shares(["suffix"], SUFFIX_STRENGTH, array(corpus), "p_suffix").withColumnRenamed("suffix", "s")
+    hosts = shares(["host", "suffix"], HOST_STRENGTH, F.coalesce("p_suffix", array(corpus)), "p_host").withColumnsRenamed({"host": "h", "suffix": "hs"})
     joined = (scored.join(suffixes, F.col("suffix") == F.col("s"), "left")
-              .join(hosts, (F.col("host") == F.col("h")) & F.col("suffix").eqNullSafe(F.col("hs")), "left"))
-    said = F.when(F.col("declared").isNull(), F.lit(None)).otherwise(
-        F.coalesce(F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("declared")), F.lit(0)).cast("int"))
+              .join(hosts, (F.col("host") == F.col("h")) & F.col("suffix").eqNullSafe(F.col("hs")), "left")
+              .join(F.broadcast(said), F.when(F.col("declared").isNotNull(), value) == F.col("v"), "left"))
 
-    def log_posterior(i: int, _: str) -> Column:
-        by_declared = F.array(*[F.lit(float(declared[i, j])) for j in [-1, *range(len(languages))]])
-        return (TEMPER * F.col("n") * F.col("mean")[i] + F.coalesce(F.get(by_declared, said), F.lit(0.0))
-                + F.coalesce(F.log(F.col("p_suffix")[i] / corpus[i]), F.lit(0.0)) + F.log(F.coalesce(F.col("p_host")[i], F.col("p_suffix")[i], F.lit(corpus[i]))))
+    def log_posterior(mean: Column, i: Column) -> Column:
+        whole = F.get(array(corpus), i)
+        return (TEMPER * F.col("n") * mean + F.coalesce(F.get("p_declared", i), F.lit(0.0)) + F.coalesce(F.log(F.get("p_suffix", i) / whole), F.lit(0.0))
+                + F.log(F.coalesce(F.get("p_host", i), F.get("p_suffix", i), whole)))
 
-    out = joined.withColumn("scores", per(log_posterior)).withColumn("top", F.array_max("scores"))
+    out = joined.withColumn("scores", F.transform("mean", log_posterior)).withColumn("top", F.array_max("scores"))
     weight = F.aggregate("scores", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
-    accepted = F.col("text_lang") != UNKNOWN
-    return out.select("key", F.when(accepted, _argmax(F.col("scores"), languages)).otherwise(UNKNOWN).alias("lang"), (1 / weight).alias("posterior"),
-                      "text_lang", "declared", accepted.alias("accepted"))
+    lang = F.when(F.col("n") > 0, _argmax(F.col("scores"), names)).otherwise(UNKNOWN)
+    return out.select("key", lang.alias("lang"), (1 / weight).alias("posterior"), "text_lang", "declared", (lang != UNKNOWN).alias("accepted"))
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

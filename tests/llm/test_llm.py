@@ -356,6 +356,34 @@ def test_language_id(spark, empty):
     assert language_id.identify(language_id.document_evidence(empty)).count() == 0
 
 
+WORDS_OF = {"ru": ["мир", "дом", "река", "слово"], "fr": ["été", "nous", "vous", "leur"], "zh": ["天地玄黄", "宇宙洪荒", "日月盈昃"]}
+
+
+def language_rows(spark, declared, n=20):
+    rng = random.Random(14)
+    rows = [(i, " ".join(rng.choices(WORDS_OF[x], k=60)), declared(x), f"h{i % 3}") for i, x in enumerate(sorted(WORDS_OF) * n)]
+    rows += [(900, "", declared("ru"), "h0"), (901, None, None, None), (902, "\x01\x02\x7f" * 50, None, "h0")]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.lit(0).cast("long"))
+
+
+def test_languages_are_those_declared(spark):
+    rows, df = language_rows(spark, lambda x: x.upper() + "-x")
+    got = {r["key"]: r for r in language_id.identify(language_id.document_evidence(df)).collect()}
+    assert all(got[i]["lang"] == x and got[i]["accepted"] for (i, *_), x in zip(rows, sorted(WORDS_OF) * 20))
+    assert not any(got[i]["accepted"] for i in (900, 901, 902))
+    assert language_id.declared_languages(language_id.document_evidence(df), 20) == ("fr", "ru", "zh")
+    assert language_id.declared_languages(language_id.document_evidence(df), 21) == ()
+
+
+@pytest.mark.parametrize("code", [None, "und", "", "3x"])
+def test_documents_stay_without_any_declared_language(spark, tmpdir_path, code):
+    rows, df = language_rows(spark, lambda x: code)
+    got = {r["key"]: r for r in language_id.identify(language_id.document_evidence(df)).collect()}
+    assert [got[i]["accepted"] for i, *_ in rows] == [True] * 60 + [False, False, True]
+    kept = corpus_pipeline.keep_identified(spark, df, tmpdir_path).collect()
+    assert len(kept) == 61 and {r["lang"] for r in kept} == {"und"}
+
+
 def test_quality_network(spark, docs, empty):
     rng = random.Random(8)
     rows, labels = [], []
