@@ -217,5 +217,8 @@ def identify(rows: DataFrame, least: int = MIN_ROWS) -> DataFrame:
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = identify(document_evidence(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")))
-    return found.withColumnRenamed("key", "doc_id")
+    """All documents (by doc_id) and all web pages (by page_id), each table with its own counts."""
+    docs = identify(document_evidence(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")))
+    pages = identify(page_evidence(table(spark, sf_dir, "pages", "page_id", "url", "html")))
+    none = F.lit(None).cast("long")
+    return docs.withColumnRenamed("key", "doc_id").withColumn("page_id", none).unionByName(pages.withColumnRenamed("key", "page_id").withColumn("doc_id", none))

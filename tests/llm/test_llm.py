@@ -384,6 +384,19 @@ def test_documents_stay_without_any_declared_language(spark, tmpdir_path, code):
     assert len(kept) == 61 and {r["lang"] for r in kept} == {"und"}
 
 
+def test_language_query_judges_pages_by_suffix_and_markup(spark, tmpdir_path):
+    rng = random.Random(15)
+    rows, df = language_rows(spark, lambda x: x)
+    df.write.parquet(f"{tmpdir_path}/documents.parquet")
+    page = lambda i, x, suffix, lang, text: (i, f"https://w{i}.example.{suffix}/p", f"<html{lang}><style>x</style><p>{text}</p></html>", x)
+    pages = [page(i, x, x, f' lang="{x}"', " ".join(rng.choices(WORDS_OF[x], k=60)) + " abcd") for i, x in enumerate(("fr", "ru") * 100)]
+    pages += [page(1000, "fr", "fr", "", "abcd"), page(1001, "ru", "ru", "", "abcd"), page(1002, "fr", "com", ' lang="fr"', "abcd"), page(1003, "ru", "com", ' lang="ru"', "abcd")]
+    spark.createDataFrame(pages, "page_id long, url string, html string, want string").drop("want").write.parquet(f"{tmpdir_path}/pages.parquet")
+    got = language_id.op1_language_id(spark, tmpdir_path).collect()
+    assert sorted(r["doc_id"] for r in got if r["page_id"] is None) == sorted(r[0] for r in rows)
+    assert {r["page_id"]: (r["lang"], r["accepted"]) for r in got if r["doc_id"] is None} == {i: (x, True) for i, _, _, x in pages}
+
+
 def test_quality_network(spark, docs, empty):
     rng = random.Random(8)
     rows, labels = [], []
