@@ -64,11 +64,15 @@ def _share(text: Column, pattern: str) -> Column:
 
 
 def _entropy(text: Column) -> Column:
-    """Shannon entropy of the characters, in bits."""
-    chars = F.split(text, "")
-    n = F.greatest(F.length(text), F.lit(1)).cast("double")
-    return F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda a, c: a - F.when(c == "", 0.0).otherwise(
-        (F.size(F.filter(chars, lambda x: x == c)) / n) * F.log2(F.size(F.filter(chars, lambda x: x == c)) / n)))
+    """Shannon entropy of the characters, in bits, from the runs of the sorted characters."""
+    state = lambda c, run, bits: F.struct(c.alias("c"), run.alias("run"), bits.alias("bits"))
+    closed = lambda s: s["bits"] + F.when(s["run"] > 0, s["run"] * F.log2(s["run"])).otherwise(0.0)
+    chars = F.sort_array(F.filter(F.split(text, ""), lambda c: c != ""))
+    n = F.greatest(F.size(chars), F.lit(1)).cast("double")
+    return F.aggregate(
+        chars, state(F.lit(""), F.lit(0.0), F.lit(0.0)),
+        lambda s, c: F.when(s["c"] == c, state(c, s["run"] + 1.0, s["bits"])).otherwise(state(c, F.lit(1.0), closed(s))),
+        lambda s: F.log2(n) - closed(s) / n)
 
 
 def lexical_features(df: DataFrame) -> DataFrame:
@@ -76,11 +80,10 @@ def lexical_features(df: DataFrame) -> DataFrame:
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
     labels = F.when(F.col("host") == "", F.array().cast("array<string>")).otherwise(F.split("host", r"\."))
     n = F.size(labels)
-    tail = F.lower(F.substring(url, 1, 2000))  # entropy looks at a URL's usual length; lengths at all of it
     return df.withColumns({
         "f_length": F.length(url).cast("double"), "f_host_length": F.length("host").cast("double"), "f_path_length": F.length("path").cast("double"),
         "f_depth": F.size(F.filter(F.split("path", "/"), lambda x: x != "")).cast("double"), "f_labels": n.cast("double"),
-        "f_digits": _share(url, r"[^0-9]"), "f_hyphens": F.length(F.regexp_replace("host", r"[^-]", "")).cast("double"), "f_entropy": _entropy(tail),
+        "f_digits": _share(url, r"[^0-9]"), "f_hyphens": F.length(F.regexp_replace("host", r"[^-]", "")).cast("double"), "f_entropy": _entropy(F.lower(url)),
         "f_parameters": F.when(query == "", 0.0).otherwise(F.size(F.split(query, "&")).cast("double")), "f_query_length": F.length(query).cast("double"),
         "f_fragment": F.contains(url, F.lit("#")).cast("double"), "f_https": F.lower(F.substring(url, 1, 6)).eqNullSafe("https:").cast("double"),
         "suffix_1": F.when(n > 0, F.element_at(labels, -1)).otherwise(""),

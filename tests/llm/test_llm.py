@@ -470,6 +470,17 @@ def test_url_filter(spark):
     assert {r["page_id"]: r["verdict"] for r in url_filter.judge(lone).collect()} == {1: "block", 2: "block"}
 
 
+def test_url_entropy_is_of_the_whole_url(spark):
+    rng = random.Random(16)
+    urls = ["http://h/?q=" + "a" * 3000, "http://h/?q=" + "a" * 3000 + "".join(rng.choices("bcdefghijk0123456789", k=9000)), "HTTP://x.Org/É日?a=1", "aaaa", "", None]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    host, path = url_filter.host_and_path(F.col("url"))
+    got = dict(url_filter.lexical_features(df.withColumns({"host": host, "path": path})).select("page_id", "f_entropy").collect())
+    for i, u in enumerate(urls):
+        counts = np.array(list(collections.Counter((u or "").lower()).values()), float)
+        assert abs(got[i] - -(counts / counts.sum() * np.log2(counts / counts.sum())).sum()) < 1e-9
+
+
 def test_pipeline_stages(spark, docs, empty, tmpdir_path):
     spark.createDataFrame([(1, docs.where("doc_id = 7").first()["text"][:120])], "item_id long, text string").write.parquet(f"{tmpdir_path}/benchmark.parquet")
     for start, rows in ((docs, docs), (empty, empty)):
