@@ -36,10 +36,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/starmart-llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str = "", path: str | None = None) -> DataFrame:
     """Write a result as Parquet in the shared folder and read it back: what is
-    built on it neither repeats the work nor loses it with an executor."""
-    path = scratch(df.sparkSession, name)
+    built on it neither repeats the work nor loses it with an executor. A caller
+    that removes it names the ``path``."""
+    path = path or scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
