@@ -1,11 +1,12 @@
 """Filter interaction audit on a sparse document-term matrix.
 
-Texts are cut into blocks. Each block becomes one CSR shard: a row for each document, a
-column for each word, with the counts; at first by the block's own word numbers. The
-distinct words of all blocks get their numbers in one global dictionary, and each shard's
-columns are renumbered to it. Filters A and B read the matrix only: a row's sum is the
-document's word count, its number of nonzeros the distinct words. The other flags stand
-beside the rows: C and D from the text's bytes, E from the smallest doc_id of equal texts.
+Texts become CSR shards of bounded size: a row for each document, with the counts of its
+words. The distinct words of all shards are dealt out by word, and numbered there in their
+order: the global dictionary. A shard holds the global numbers of its own columns, and its
+entries point to these (``global_entries`` spells them out). Filters A and B read the matrix
+only: a row's sum is the document's word count, its number of nonzeros the distinct words.
+The other flags stand beside the rows: C and D from the text's bytes, E from the smallest
+doc_id of equal texts.
 
 Documents are then counted by (part, set of failed filters, labels), at most 32 sets a
 part, and every order and step is read off these counts: what a set of filters leaves is
@@ -15,8 +16,8 @@ Null texts are empty (they fail A and C not; B not: 0 < 0 is false), a null sour
 empty part. Rows that repeat a doc_id are rows of their own; equal texts of one doc_id do not
 make each other fail E, nor do null doc_ids, which are never smaller or larger. A doc_id
 with several labels counts as good (toxic) if any says so; null doc_ids have no labels.
-Other columns are ignored; an empty table gives no rows. Very long texts are blocks of
-their own.
+Other columns are ignored; an empty table gives no rows. A very long text is a shard of
+its own.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from itertools import permutations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.session import delete_path
@@ -47,10 +49,24 @@ _BLANK[[32, *range(9, 14)]] = True
 _TO_BLANK = bytes.maketrans(bytes(range(9, 14)), b" " * 5)
 
 ROW = "struct<doc_id:long,part:string,text_key:binary,chars:long,capitals:long,symbols:boolean>"
-#: Row i of a shard has the entries indptr[i] to indptr[i + 1] of indices and data.
-SHARD = f"block long, rows array<{ROW}>, indptr array<long>, indices array<long>, data array<int>"
+#: Row i of a shard has the entries indptr[i] to indptr[i + 1]: places in columns, and counts.
+#: Entries are packed (``pack``); columns hold the words' global numbers.
+SHARD = f"block long, rows array<{ROW}>, indptr array<long>, indices binary, data binary"
 ROW_TYPE = pa.struct([("doc_id", pa.int64()), ("part", pa.string()), ("text_key", pa.binary()), ("chars", pa.int64()), ("capitals", pa.int64()),
                       ("symbols", pa.bool_())])
+#: Bits of a word's number that name the task that numbered it.
+TASK_BITS = 20
+#: Bytes of text in one shard.
+SHARD_BYTES = 32 << 20
+
+
+def pack(numbers: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(numbers, "<i4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, -1).T).reshape(-1).view("<i4")
 
 
 def _sums(flags: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -77,68 +93,102 @@ def _one(values, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def row_values(batch: pa.RecordBatch) -> pa.Array:
+    texts = batch.column(3).cast(pa.large_binary())
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    return pa.StructArray.from_arrays(
+        [batch.column(0), batch.column(1).cast(pa.string()), batch.column(2).cast(pa.binary()), pa.array(_sums((raw & 0xC0) != 0x80, ends)),
+         pa.array(_sums(_CAPITAL[raw], ends)), pa.array(_sums(_SYMBOL[raw], ends) > 0)], fields=list(ROW_TYPE))
+
+
 def local_shards(batches):
-    """(doc_id, part, text_key, text) batches to one shard each, and its words."""
-    for i, batch in enumerate(batches):
+    """(doc_id, part, text_key, text) batches to shards of about SHARD_BYTES, and their words."""
+    held: list[tuple] = []
+    size = number = 0
+
+    def shard():
+        words = pa.concat_arrays([w for _, w, _, _, _ in held]).dictionary_encode()
+        place, at, indices, indptr, entries = words.indices.to_numpy(), 0, [], [np.zeros(1, np.int64)], 0
+        for _, w, ends, columns, _ in held:
+            indices.append(place[at : at + len(w)][columns])
+            indptr.append(ends[1:] + entries)
+            at, entries = at + len(w), entries + ends[-1]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([TaskContext.get().partitionId() << 32 | number], pa.int64()), _one(pa.concat_arrays([r for r, *_ in held]), ROW_TYPE),
+             _one(np.concatenate(indptr), pa.int64()), pa.array([pack(np.concatenate(indices))], pa.binary()),
+             pa.array([pack(np.concatenate([d for *_, d in held]))], pa.binary()), _one(words.dictionary, pa.string())],
+            names=["block", "rows", "indptr", "indices", "data", "words"])
+
+    for batch in batches:
+        if batch.num_rows:
+            texts = batch.column(3).cast(pa.large_binary())
+            held.append((row_values(batch), *csr_of(texts)))
+            size += pc.sum(pc.binary_length(texts)).as_py()
+        if size >= SHARD_BYTES:
+            yield shard()
+            held, size, number = [], 0, number + 1
+    if held:
+        yield shard()
+
+
+def numbered(batches):
+    """(word, block, place) rows, dealt out by word and sorted by it, with the word's global number:
+    its place among the task's words, then the task. ``first``: the word's first row."""
+    last, at, task = None, -1, TaskContext.get().partitionId()
+    for batch in batches:
         if not batch.num_rows:
             continue
-        texts = batch.column(3).cast(pa.large_binary())
-        words, indptr, indices, data = csr_of(texts)
-        raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
-        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        rows = pa.StructArray.from_arrays(
-            [batch.column(0), batch.column(1).cast(pa.string()), batch.column(2).cast(pa.binary()), pa.array(_sums((raw & 0xC0) != 0x80, ends)),
-             pa.array(_sums(_CAPITAL[raw], ends)), pa.array(_sums(_SYMBOL[raw], ends) > 0)], fields=list(ROW_TYPE))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([TaskContext.get().partitionId() << 32 | i], pa.int64()), _one(rows, ROW_TYPE), _one(indptr, pa.int64()),
-             _one(indices, pa.int64()), _one(data, pa.int32()), _one(words, pa.string())], names=["block", "rows", "indptr", "indices", "data", "words"])
-
-
-def renumbered(batches):
-    """Shards with (place, number) of their words to shards by the global numbers."""
+        words = batch.column(0)
+        new = np.append(words[0].as_py() != last, pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False))
+        places = at + np.cumsum(new)
+        last, at = words[-1].as_py(), int(places[-1])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((places << TASK_BITS) | task, pa.int64()), pa.array(new)],
+                                         names=["word", "block", "place", "number", "first"])
+
+
+def in_place(batches):
+    """Shards with (place, number) of their words to shards with their columns."""
     for batch in batches:
+        names = batch.column(5)
         for i in range(batch.num_rows):
-            block, rows, indptr, indices, data, names = (batch.column(c).slice(i, 1) for c in range(6))
-            columns = indices
-            if names.is_valid()[0].as_py():
-                pairs = names.flatten()
-                place, number = (pairs.field(c).to_numpy() for c in (0, 1))
-                of = np.empty(len(place), np.int64)
-                of[place] = number
-                columns = _one(of[indices.flatten().to_numpy()], pa.int64())
-            yield pa.RecordBatch.from_arrays([block, rows, indptr, columns, data], names=["block", "rows", "indptr", "indices", "data"])
-
-
-def document_term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+            columns = np.empty(0, np.int64)
+            if names[i].is_valid:
+                place, number = (names[i].values.field(c).to_numpy() for c in (0, 1))
+                columns = np.empty(len(place), np.int64)
+                columns[place] = number
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(i, 1) for c in range(5)], _one(columns, pa.int64())],
+                                             names=["block", "rows", "indptr", "indices", "data", "columns"])
+
+
+def document_term_matrix(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """The global dictionary (word, number) of (doc_id, part, text_key, text) rows, and
-    their matrix as CSR shards (SHARD)."""
+    their matrix as CSR shards: SHARD and ``columns``. The dictionary is read from shards
+    in ``path``, which the caller removes when it is done with it."""
     spark = docs.sparkSession
     small_batches(spark)
-    path = scratch(spark, "matrix-local")
     local = staged(docs.select("doc_id", "part", "text_key", "text").mapInArrow(local_shards, SHARD + ", words array<string>"), path=path)
-    found = local.select("block", F.posexplode("words").alias("place", "word"))
-    # distinct words keep their task and place there; a task's numbers follow those of the tasks before it
-    distinct = staged(found.select("word").distinct().withColumn("at", F.monotonically_increasing_id()), "matrix-words")
-    counts = distinct.groupBy(F.expr("at >> 33").alias("task")).agg(F.count("*").alias("n"))
-    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.broadcast(counts.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")))  # one row a task
-    dictionary = (distinct.join(first, F.expr("at >> 33") == F.col("task"))
-                  .select("word", (F.col("first") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("number")))
-    # a block's distinct words: at most its text
-    names = found.join(dictionary, "word").groupBy("block").agg(F.collect_list(F.struct("place", "number")).alias("names"))
-    shards = local.drop("words").join(names, "block", "left").select("block", "rows", "indptr", "indices", "data", "names").mapInArrow(renumbered, SHARD)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = local.select(F.posexplode("words").alias("place", "word"), "block").select("word", "block", "place").repartition(tasks, "word").sortWithinPartitions("word")
+    found = dealt.mapInArrow(numbered, "word string, block long, place int, number long, first boolean")
+    # a shard's distinct words: at most its text
+    names = found.groupBy("block").agg(F.collect_list(F.struct("place", "number")).alias("names"))
+    shards = local.drop("words").join(names, "block", "left").select("block", "rows", "indptr", "indices", "data", "names").mapInArrow(in_place, SHARD + ", columns array<long>")
     matrix = staged(shards, "matrix")
-    delete_path(spark, path)
-    return dictionary, matrix
+    return found.where("first").select("word", "number"), matrix
+
+
+def global_entries(shard) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """indptr, global word numbers and counts of one shard."""
+    return np.array(shard["indptr"]), np.array(shard["columns"], np.int64)[unpack(shard["indices"])], unpack(shard["data"])
 
 
 def row_statistics(batches):
     """Shards to their rows with the row's sum and number of nonzeros."""
     for batch in batches:
         for i in range(batch.num_rows):
-            _, rows, indptr, _, data = (batch.column(c).slice(i, 1).flatten() if c else None for c in range(5))
-            ends = indptr.to_numpy()
-            sums = np.diff(np.concatenate([[0], np.cumsum(data.to_numpy(), dtype=np.int64)])[ends])
+            rows, ends, data = batch.column(1)[i].values, batch.column(2)[i].values.to_numpy(), unpack(batch.column(4)[i].as_py())
+            sums = np.diff(np.concatenate([[0], np.cumsum(data, dtype=np.int64)])[ends])
             yield pa.RecordBatch.from_arrays([*rows.flatten(), pa.array(sums), pa.array(np.diff(ends))],
                                              names=["doc_id", "part", "text_key", "chars", "capitals", "symbols", "words", "distinct_words"])
 
@@ -151,7 +201,9 @@ def failures(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("source", F.lit("")).alias("part"),
                        F.unhex(F.sha2(text.cast("binary"), 256)).alias("text_key"), text.alias("text"))
-    _, matrix = document_term_matrix(rows)
+    path = scratch(docs.sparkSession, "matrix-local")
+    _, matrix = document_term_matrix(rows, path)
+    delete_path(docs.sparkSession, path)
     found = matrix.mapInArrow(row_statistics, STATISTICS)
     # by text, so that a group of any size is reduced before the shuffle; its smallest id then meets that document only
     firsts = matrix.select(F.explode("rows").alias("r")).select("r.text_key", "r.doc_id").groupBy("text_key").agg(F.min("doc_id").alias("doc_id"))
