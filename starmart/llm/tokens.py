@@ -18,12 +18,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Distinct pieces a worker keeps between blocks (about 60 bytes each).
-CACHE_PIECES = 400_000
+#: Distinct pieces a worker keeps between blocks (about 60 bytes each), beyond those of
+#: its last block. Over that, it keeps the half of them that most blocks held.
+CACHE_PIECES = 300_000
 #: Longer pieces are not kept between blocks.
 CACHE_PIECE_BYTES = 64
 #: Bytes of text handled at once in a worker (a longer text is a block by itself).
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 6_000_000
 
 
 def default_path() -> str:
@@ -46,11 +47,29 @@ class PieceEncoder:
         #: a mark that ends a piece, after a letter, is always tokens of its own
         self.marks = {m: self._each([m])[0] for m in ".,"}
         self.cache_pieces = cache_pieces
-        self._forget()
-
-    def _forget(self) -> None:
         self.known = pa.array([], pa.large_string())
         self.pool, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        #: the blocks that held a piece, halved whenever pieces are dropped
+        self.held = np.zeros(0, np.int32)
+
+    def _keep(self, at: np.ndarray) -> None:
+        """Forget all pieces but those at these places."""
+        self.pool, self.known = self._gather(at), self.known.take(pa.array(at))
+        self.sizes, self.held = self.sizes[at], self.held[at]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def _trim(self) -> None:
+        """Drop long pieces, and the rare ones if there are too many."""
+        short = pc.less_equal(pc.binary_length(self.known), CACHE_PIECE_BYTES).to_numpy(zero_copy_only=False)
+        if len(self.known) > self.cache_pieces:
+            often = np.flatnonzero(short)
+            most = self.cache_pieces // 2
+            if len(often) > most:  # of pieces that equally many blocks held, the last ones
+                often = np.sort(often[np.argsort(self.held[often], kind="stable")[-most:]])
+            self._keep(often)
+            self.held = np.maximum(self.held // 2, 1)
+        elif not short.all():
+            self._keep(np.flatnonzero(short))
 
     def _each(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -70,6 +89,7 @@ class PieceEncoder:
         self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
         self.pool = np.concatenate([self.pool, ids])
         self.sizes = np.concatenate([self.sizes, sizes])
+        self.held = np.concatenate([self.held, np.zeros(len(sizes), np.int32)])
 
     def _gather(self, at: np.ndarray) -> np.ndarray:
         n = self.sizes[at]
@@ -107,11 +127,10 @@ class PieceEncoder:
                 ids = np.insert(self._gather(stem), np.repeat(np.cumsum(sizes), len(tail)), np.tile(tail, len(stem)))
                 at[which] = len(self.known) + np.arange(len(which))
                 self._add(words.take(pa.array(which)), ids, sizes + len(tail))
+        self.held[at[at >= 0]] += 1
         return at[: len(words)]
 
     def _block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > self.cache_pieces:
-            self._forget()
         parts = pc.split_pattern(texts, " ")
         flat = parts.flatten()
         first = parts.offsets.to_numpy()
@@ -138,12 +157,7 @@ class PieceEncoder:
         heads = self._each(alone)
         n_heads = np.array([len(x) for x in heads])
         ids = np.insert(ids, np.repeat(ends[:-1], n_heads), np.concatenate(heads))
-        long = pc.greater(pc.binary_length(self.known), CACHE_PIECE_BYTES)
-        if pc.any(long).as_py():
-            keep = np.flatnonzero(~long.to_numpy(zero_copy_only=False))
-            self.pool, self.known = self._gather(keep), self.known.take(pa.array(keep))
-            self.sizes = self.sizes[keep]
-            self.starts = np.cumsum(self.sizes) - self.sizes
+        self._trim()
         return ids, ends + np.concatenate([[0], np.cumsum(n_heads)])
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
