@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import argparse
 import sys
-import time
 
 from starmart.plans import diagnostics, reports
 from starmart.session import get_spark
@@ -26,12 +25,6 @@ from starmart.streaming.loader import WarehouseLoader
 from starmart.streaming.pipeline import DEFAULT_TRIGGER_BYTES, run_to_completion
 
 
-def new_batch_id() -> int:
-    """A batch id for a one-shot load: milliseconds of the clock, which no stream's
-    running batch number reaches."""
-    return time.time_ns() // 1_000_000
-
-
 def _print_rows(df, limit: int | None) -> None:
     """Print a report row by row, one partition at a time on the driver."""
     print("\t".join(df.columns))
@@ -66,6 +59,7 @@ def _parser() -> argparse.ArgumentParser:
     rt = sub.add_parser("retry", help="retry open rejects against the current dimensions")
     rt.add_argument("--warehouse", required=True)
     rt.add_argument("--retry-id", type=int, required=True)
+    rt.add_argument("--everything", action="store_true", help="all open rejects, not only those that wait for arrived keys")
     cp = sub.add_parser("compact", help="merge committed batch folders of some months")
     cp.add_argument("--warehouse", required=True)
     cp.add_argument("--upto-batch", type=int, help="by default all finished batches")
@@ -88,8 +82,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
                                   fmt=args.format, max_files_per_trigger=args.max_files_per_trigger,
                                   max_bytes_per_trigger=args.max_bytes_per_trigger, loader=loader)
             else:
-                loader.process_batch(files.read_transactions(spark, args.transactions, args.format),
-                                     new_batch_id() if args.batch_id is None else args.batch_id)
+                loader.load_files(args.transactions, args.format, args.batch_id)
+        out["masters"] = [(r.table, r.read, r.stored, r.existing, r.duplicates, r.rejected) for r in loader.master_reports]
         out["batches"] = [(r.batch_id, r.loaded, r.rejected) for r in loader.reports]
     elif args.cmd == "report":
         star = wh.star()
@@ -104,7 +98,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
                 _print_rows(df, args.rows)
             out[name] = True
     elif args.cmd == "retry":
-        r = WarehouseLoader(wh).retry_rejects(args.retry_id)
+        r = WarehouseLoader(wh).retry_rejects(args.retry_id, args.everything)
         out["resolved"] = r.loaded
     elif args.cmd == "compact":
         months = [tuple(int(x) for x in m.split("-")) for m in args.months]

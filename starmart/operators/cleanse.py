@@ -20,8 +20,17 @@ UNKNOWN_PRODUCT = "unknown_product"
 MISSING_PRICE = "missing_price"
 AMOUNT_OVERFLOW = "amount_overflow"
 LATE_MASTER = "late_master"  # in a replayed batch: a retry loaded the row after the first run
+# Master rows:
+MALFORMED = "malformed_row"
+BAD_OCCUPATION = "bad_occupation"
+BAD_MARITAL_STATUS = "bad_marital_status"
+BAD_PRICE = "bad_price"
+DUPLICATE_KEY = "duplicate_key"
 RETRYABLE = (UNKNOWN_CUSTOMER, UNKNOWN_PRODUCT, LATE_MASTER)
 
+# Fixed values that CSV readers take for a missing one.
+MISSING_MARKS = ("", "#n/a", "n/a", "na", "nan", "none", "null")
+
 ID_MAX_LEN = 50  # VARCHAR(50) of the business ids
 
 
@@ -65,9 +74,26 @@ def _load_order(raw: DataFrame):
     return F.struct(*place, F.monotonically_increasing_id().alias("row"))
 
 
-def cleanse_customers(raw: DataFrame) -> DataFrame:
-    """Typed customer master rows with a load order; rows without an id dropped."""
-    return (raw.select(
+def _given(c: str) -> Column:
+    """Whether a raw value is there at all (not blank, no mark for a missing one)."""
+    t = F.lower(F.trim(F.col(c)))
+    return t.isNotNull() & ~t.isin(*MISSING_MARKS)
+
+
+def _judged(raw: DataFrame, typed: list[Column], rules: list[tuple[Column, str]]) -> DataFrame:
+    """Typed master rows with a load order, ``pre_reason`` (null: may be stored) and ``raw``,
+    the row as read."""
+    names = [c for c in raw.columns if not c.startswith("_")]
+    line = F.col("_corrupt_record") if "_corrupt_record" in raw.columns else F.lit(None).cast("string")
+    out = raw.select(*[F.col(c).alias(f"raw_{c}") for c in names], *typed, line.alias("_line"), _load_order(raw).alias("_load_order"))
+    return (out.withColumn("pre_reason", first_reason([(F.col("_line").isNotNull(), MALFORMED), *rules]))
+            .withColumn("raw", F.coalesce("_line", F.to_json(F.struct(*[F.col(f"raw_{c}").alias(c) for c in names]))))
+            .drop("_line", *[f"raw_{c}" for c in names]))
+
+
+def judge_customers(raw: DataFrame) -> DataFrame:
+    """Customer master rows, each with the reason that keeps it out of the dimension."""
+    return _judged(raw, [
         clean_id("Customer_ID").alias("Customer_ID"),
         F.trim("Gender").alias("Gender"),
         F.trim("Age").alias("Age"),
@@ -75,13 +101,18 @@ def cleanse_customers(raw: DataFrame) -> DataFrame:
         F.trim("City_Category").alias("City_Category"),
         F.trim("Stay_In_Current_City_Years").alias("Stay_In_Current_City_Years"),
         parse_int("Marital_Status").alias("Marital_Status"),
-        _load_order(raw).alias("_load_order"))
-        .filter(F.col("Customer_ID").isNotNull()))
+    ], [
+        (F.col("Customer_ID").isNull(), MISSING_CUSTOMER_ID),
+        (F.length("Customer_ID") > ID_MAX_LEN, ID_TOO_LONG),
+        (_given("raw_Occupation") & F.col("Occupation").isNull(), BAD_OCCUPATION),
+        (_given("raw_Marital_Status") & F.col("Marital_Status").isNull(), BAD_MARITAL_STATUS),
+    ])
 
 
-def cleanse_products(raw: DataFrame) -> DataFrame:
-    """Typed product master rows (``price$`` renamed ``price``) with a load order."""
-    return (raw.select(
+def judge_products(raw: DataFrame) -> DataFrame:
+    """Product master rows (``price$`` renamed ``price``), each with the reason that keeps it
+    out of the dimension. A product without a price is stored; its sales are rejected."""
+    return _judged(raw, [
         clean_id("Product_ID").alias("Product_ID"),
         F.trim("Product_Category").alias("Product_Category"),
         parse_decimal("price$").alias("price"),
@@ -89,8 +120,34 @@ def cleanse_products(raw: DataFrame) -> DataFrame:
         F.trim("storeName").alias("storeName"),
         clean_id("supplierID").alias("supplierID"),
         F.trim("supplierName").alias("supplierName"),
-        _load_order(raw).alias("_load_order"))
-        .filter(F.col("Product_ID").isNotNull()))
+    ], [
+        (F.col("Product_ID").isNull(), MISSING_PRODUCT_ID),
+        (F.greatest(*[F.coalesce(F.length(c), F.lit(0)) for c in ("Product_ID", "storeID", "supplierID")]) > ID_MAX_LEN, ID_TOO_LONG),
+        (_given("raw_price$") & F.col("price").isNull(), BAD_PRICE),
+    ])
+
+
+def storable(judged: DataFrame) -> DataFrame:
+    return judged.filter(F.col("pre_reason").isNull()).drop("pre_reason", "raw")
+
+
+def cleanse_customers(raw: DataFrame) -> DataFrame:
+    """Typed customer master rows with a load order, without those that may not be stored."""
+    return storable(judge_customers(raw))
+
+
+def cleanse_products(raw: DataFrame) -> DataFrame:
+    """Typed product master rows with a load order, without those that may not be stored."""
+    return storable(judge_products(raw))
+
+
+def later_rows(judged: DataFrame, key: str) -> DataFrame:
+    """Storable rows of a key that an earlier row of the same load has (C4). Only the keys
+    that occur more than once are joined back."""
+    good = judged.filter(F.col("pre_reason").isNull())
+    first = (good.groupBy(key).agg(F.min("_load_order").alias("_first"), F.count(F.lit(1)).alias("_n"))
+             .filter(F.col("_n") > 1).select(key, "_first"))
+    return good.join(first, key).filter(F.col("_load_order") != F.col("_first")).drop("_first")
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

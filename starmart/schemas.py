@@ -116,6 +116,48 @@ REJECTS_RESOLVED = T.StructType([
     T.StructField("resolved_in", T.LongType(), False),
 ])
 
+# A master row that is not in its dimension, as read (JSON of its raw columns).
+MASTER_REJECTS = T.StructType([
+    T.StructField("table_name", S, False),
+    T.StructField("business_key", S),
+    T.StructField("raw", S),
+    T.StructField("reject_reason", S, False),
+    T.StructField("load_id", T.LongType(), False),
+])
+
+# A file whose rows a batch has loaded (or claimed, until the batch is in the ledger).
+MANIFEST = T.StructType([
+    T.StructField("path", S, False),
+    T.StructField("length", T.LongType()),
+    T.StructField("modified", T.TimestampType()),
+    T.StructField("source", S, False),
+    T.StructField("batch_id", T.LongType(), False),
+])
+
+# Keys that rejected rows of a batch wait for, and keys that a master load has brought.
+WAITING = T.StructType([
+    T.StructField("key_kind", S, False),
+    T.StructField("business_key", S, False),
+    T.StructField("key_bucket", T.IntegerType(), False),
+    T.StructField("batch_id", T.LongType(), False),
+])
+ARRIVALS = T.StructType([
+    T.StructField("key_kind", S, False),
+    T.StructField("business_key", S, False),
+    T.StructField("load_id", T.LongType(), False),
+])
+#: Arrivals that a retry has answered.
+ARRIVALS_SEEN = T.StructType([T.StructField("load_id", T.LongType(), False), T.StructField("retry_id", T.LongType(), False)])
+
+# What a batch adds to a store's quarter.
+ROLLUP_DELTAS = T.StructType([
+    T.StructField("store_key", T.LongType(), False),
+    T.StructField("sales", T.DecimalType(38, 2), False),
+    T.StructField("year", T.IntegerType(), False),
+    T.StructField("quarter", T.IntegerType(), False),
+    T.StructField("batch_id", T.LongType(), False),
+])
+
 # One row per finished load or retry; quarters are yyyyq.
 LOADS = T.StructType([
     T.StructField("source", S, False),

@@ -10,7 +10,12 @@ from pyspark.sql import types as T
 from starmart.schemas import CUSTOMER_RAW, PRODUCT_RAW, TRANSACTION_RAW
 
 
-def _header_schema(spark: SparkSession, path: str, raw: T.StructType, glob: str | None = None) -> T.StructType:
+#: The line of a master row that does not fit the columns; the file of a transaction.
+CORRUPT = "_corrupt_record"
+SOURCE_FILE = "_source_file"
+
+
+def _header_schema(spark: SparkSession, path, raw: T.StructType, glob: str | None = None) -> T.StructType:
     """String columns in the order of the files' header. Columns are found by name:
     any order and extra columns are fine, a missing column is an error."""
     r = spark.read.option("header", True)
@@ -21,33 +26,53 @@ def _header_schema(spark: SparkSession, path: str, raw: T.StructType, glob: str
     return T.StructType([T.StructField(c, T.StringType()) for c in found])
 
 
-def _read_csv(spark: SparkSession, path: str, raw: T.StructType) -> DataFrame:
-    """CSV rows by header name; a file whose header differs from the others' fails the read."""
-    return (spark.read.schema(_header_schema(spark, path, raw)).option("header", True)
-            .option("enforceSchema", False).csv(path))
+def _read_csv(spark: SparkSession, path, raw: T.StructType, corrupt: bool = False) -> DataFrame:
+    """CSV rows by header name; a file whose header differs from the others' fails the read.
+    With ``corrupt``, a row that does not fit the columns keeps its line in ``CORRUPT``."""
+    schema = _header_schema(spark, path, raw)
+    r = spark.read.option("header", True).option("enforceSchema", False)
+    if corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    return r.schema(schema).csv(path)
 
 
 def _in_file_order(df: DataFrame, raw: T.StructType) -> DataFrame:
-    """The raw columns, and where a row stands: file, block in it."""
+    """The raw columns, the line of a row that does not fit them, and where a row stands: file, block in it."""
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-    return df.select(*raw.names, place.alias("_file"))
+    return df.select(*raw.names, CORRUPT, place.alias("_file"))
+
+
+def _with_source(df: DataFrame) -> DataFrame:
+    """The transaction columns, and the file that a row comes from."""
+    m = F.col("_metadata")
+    return df.select(*TRANSACTION_RAW.names, F.struct(m["file_path"].alias("path"), m["file_size"].alias("length"),
+                                                      m["file_modification_time"].alias("modified")).alias(SOURCE_FILE))
+
+
+def listing(spark: SparkSession, path: str) -> DataFrame:
+    """The files of a folder: path, length, modified. No content is read."""
+    m = F.col("_metadata")
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(m["file_path"].alias("path"), m["file_size"].alias("length"), m["file_modification_time"].alias("modified"))
 
 
 def read_customers(spark: SparkSession, path: str) -> DataFrame:
     """Customer master CSV with a header row."""
-    return _in_file_order(_read_csv(spark, path, CUSTOMER_RAW), CUSTOMER_RAW)
+    return _in_file_order(_read_csv(spark, path, CUSTOMER_RAW, corrupt=True), CUSTOMER_RAW)
 
 
 def read_products(spark: SparkSession, path: str) -> DataFrame:
     """Product master CSV; ``price$`` stays as read and is renamed by cleansing."""
-    return _in_file_order(_read_csv(spark, path, PRODUCT_RAW), PRODUCT_RAW)
+    return _in_file_order(_read_csv(spark, path, PRODUCT_RAW, corrupt=True), PRODUCT_RAW)
 
 
-def read_transactions(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Transactions as a batch (a folder or file of CSV / Parquet)."""
+def read_transactions(spark: SparkSession, path, fmt: str = "csv") -> DataFrame:
+    """Transactions as a batch (a folder, file or list of files of CSV / Parquet), and the
+    file of each (``SOURCE_FILE``)."""
     if fmt == "csv":
-        return _read_csv(spark, path, TRANSACTION_RAW).select(*TRANSACTION_RAW.names)
-    return spark.read.schema(TRANSACTION_RAW).format(fmt).load(path)
+        return _with_source(_read_csv(spark, path, TRANSACTION_RAW))
+    return _with_source(spark.read.schema(TRANSACTION_RAW).format(fmt).load(path))
 
 
 def _n_bytes(size: str | int) -> int:
@@ -82,7 +107,7 @@ def stream_transactions(spark: SparkSession, landing_dir: str, fmt: str = "csv",
         r = r.option("pathGlobFilter", glob)
     if fmt == "csv":
         r = r.option("header", True).option("enforceSchema", False)
-    return r.format(fmt).load(landing_dir).select(*TRANSACTION_RAW.names)
+    return _with_source(r.format(fmt).load(landing_dir))
 
 
 def export(df: DataFrame, path: str, fmt: str = "csv") -> None:

@@ -34,11 +34,19 @@ LOADS = "loads"  # the load ledger
 STREAMS = "streams"  # the id range of each stream
 STREAM_IDS = 1 << 31  # ids in a range
 CLOSED = "loads_closed"  # batches whose facts were compacted
+MANIFEST = "manifest"  # files by the batch that loaded them
+WAITING = "waiting"  # keys that rejected rows wait for
+ARRIVALS = "arrivals"  # keys that master loads have brought
+ARRIVALS_SEEN = "arrivals_seen"
+MASTER_REJECTS = "master_rejects"
+DELTAS = "rollup_deltas"  # what each batch adds to the quarterly roll-up
 SCHEMAS = {**DIMENSIONS, FACT: schemas.FACT_SALES, REJECTS: schemas.REJECTS,
            RESOLVED: schemas.REJECTS_RESOLVED, LOADS: schemas.LOADS, CLOSED: schemas.LOADS_CLOSED,
-           STREAMS: schemas.STREAMS}
+           STREAMS: schemas.STREAMS, MANIFEST: schemas.MANIFEST, WAITING: schemas.WAITING, ARRIVALS: schemas.ARRIVALS,
+           ARRIVALS_SEEN: schemas.ARRIVALS_SEEN, MASTER_REJECTS: schemas.MASTER_REJECTS, DELTAS: schemas.ROLLUP_DELTAS}
 PARTITIONS = {FACT: ("year", "month", "batch_id"), REJECTS: ("batch_id",),
-              RESOLVED: ("resolved_in",), LOADS: ("batch_id",)}
+              RESOLVED: ("resolved_in",), LOADS: ("batch_id",), MANIFEST: ("batch_id",), WAITING: ("key_bucket", "batch_id"),
+              ARRIVALS: ("load_id",), ARRIVALS_SEEN: ("retry_id",), MASTER_REJECTS: ("load_id",), DELTAS: ("year", "quarter", "batch_id")}
 
 
 @dataclass
@@ -106,9 +114,9 @@ class Warehouse:
         return self.read(name).limit(n)
 
     # -- writes -----------------------------------------------------------
-    def append(self, name: str, df: DataFrame) -> None:
+    def append(self, name: str, df: DataFrame, *partition_cols: str) -> None:
         self._star = None
-        df.write.mode("append").parquet(self.path(name))
+        df.write.mode("append").partitionBy(*partition_cols).parquet(self.path(name))
 
     def overwrite_partitions(self, name: str, df: DataFrame, *partition_cols: str) -> None:
         """Replace only the partitions ``df`` has rows for (idempotent replay)."""
