@@ -92,6 +92,104 @@ def dim_customer_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.read("dim_customer")
 
 
+def _once(name: str, spark: SparkSession, sf_dir: str, make):
+    key = (name, sf_dir, checkpoint_root(spark))
+    with _LOCK:
+        if key not in _STREAMED:
+            _STREAMED[key] = make()
+        return _STREAMED[key]
+
+
+def _landed(spark: SparkSession, sf_dir: str, **kw) -> str:
+    landing = f"{checkpoint_root(spark)}/starmart-landing/{uuid.uuid4().hex[:10]}"
+    return testdata.land_transactions(spark, sf_dir, landing, **kw)
+
+
+def facts_after_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts by year after the landing folder was loaded as a batch, loaded again, and then
+    drained by the stream: each file loads once (S6)."""
+    def make():
+        wh = new_warehouse(spark, f"{sf_dir}-replay")
+        loader = WarehouseLoader(wh)
+        loader.load_masters(testdata.customers(spark, sf_dir), testdata.products(spark, sf_dir))
+        landing = _landed(spark, sf_dir)
+        for _ in range(2):
+            loader.load_files(landing)
+        run_to_completion(spark, wh, landing, loader=loader)
+        return wh
+    fact = _once("replay", spark, sf_dir, make).read("fact_sales")
+    return fact.groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("quantity").cast("long")).alias("quantity"),
+                                    F.sum("total_amount").cast("double").alias("total_amount"))
+
+
+def _with_late_masters(spark: SparkSession, sf_dir: str):
+    """A stream of transactions with planted faults, while some customers and products are
+    missing; then the customers arrive, and the rejects are retried."""
+    def make():
+        wh = new_warehouse(spark, f"{sf_dir}-rejects")
+        loader = WarehouseLoader(wh)
+        customers = testdata.customers(spark, sf_dir)
+        late = F.col("Customer_ID").cast("long") % testdata.LATE_CUSTOMERS == 3
+        absent = F.col("Product_ID").cast("long") % testdata.ABSENT_PRODUCTS == 5
+        loader.load_masters(customers.filter(~late), testdata.products(spark, sf_dir).filter(~absent))
+        run_to_completion(spark, wh, _landed(spark, sf_dir, faults=True), max_files_per_trigger=2, loader=loader)
+        loader.load_masters(customers, None)
+        loader.retry_rejects(-1)
+        return wh, loader
+    return _once("rejects", spark, sf_dir, make)
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays rejected, and why."""
+    open_ = _with_late_masters(spark, sf_dir)[1].open_rejects()
+    return open_.select("orderID", "Customer_ID", "Product_ID", "quantity", "date", "reject_reason")
+
+
+def facts_after_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts of the same load, those of late customers included."""
+    return extras.fact_enriched(_with_late_masters(spark, sf_dir)[0].star())
+
+
+def _with_master_faults(spark: SparkSession, sf_dir: str):
+    def make():
+        wh = new_warehouse(spark, f"{sf_dir}-masters")
+        loader = WarehouseLoader(wh)
+        folder = f"{checkpoint_root(spark)}/starmart-landing/{uuid.uuid4().hex[:10]}"
+        testdata.with_master_faults(testdata.products(spark, sf_dir)).write.option("header", True).csv(folder)
+        loader.load_masters(None, files.read_products(spark, folder))
+        return wh, loader
+    return _once("masters", spark, sf_dir, make)
+
+
+def master_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product rows of a CSV master with planted faults that were not stored."""
+    found = _with_master_faults(spark, sf_dir)[0].read("master_rejects")
+    return found.groupBy("table_name", "reject_reason").agg(F.count(F.lit(1)).alias("n_rows"), F.count("business_key").alias("n_keys"))
+
+
+def products_after_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The products stored from the same files: those without a price, and one row of each repeated key."""
+    p = _with_master_faults(spark, sf_dir)[0].read("dim_product")
+    return p.select("Product_ID", "Product_Category", F.col("price").isNotNull().alias("has_price"))
+
+
+def rollup_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The materialized roll-up after a first batch, then refreshed from the deltas of a second one (V2)."""
+    def make():
+        wh = new_warehouse(spark, f"{sf_dir}-rollup")
+        loader = WarehouseLoader(wh)
+        loader.load_masters(testdata.customers(spark, sf_dir), testdata.products(spark, sf_dir))
+        tx = testdata.transactions(spark, sf_dir)
+        odd = F.col("orderID").cast("long") % 2 == 1
+        loader.process_batch(tx.filter(odd), 0)
+        views.materialize_rollup(wh)
+        loader.process_batch(tx.filter(~odd), 1)
+        views.refresh_rollup(wh, [1])
+        return wh
+    r = views.read_rollup(_once("rollup", spark, sf_dir, make))
+    return r.select("storeName", "year", "quarter", F.col("quarterly_sales").cast("double").alias("quarterly_sales"))
+
+
 def events_enriched_stream(spark: SparkSession, sf_dir: str):
     """Stream the ``events`` table (one Parquet file picked from the folder by
     glob) through a stream-static join with the customer dimension into an
@@ -143,4 +241,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["events_by_city_stream"] = events_by_city_stream
     q["load_accounting"] = load_accounting
     q["dim_customer_reloaded"] = dim_customer_reloaded
+    for fn in (facts_after_replay, stream_rejects, facts_after_retry, master_rejects, products_after_faults, rollup_refreshed):
+        q[fn.__name__] = fn
     return q

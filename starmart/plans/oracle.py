@@ -399,6 +399,48 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
 QUERIES["dim_customer_reloaded"] = QUERIES["dim_customer"]
 
 
+QUERIES["facts_after_replay"] = """
+SELECT CAST(year(full_date) AS INTEGER) AS year, COUNT(*) AS n_rows, CAST(SUM(quantity) AS BIGINT) AS quantity,
+       CAST(SUM(total_amount) AS DOUBLE) AS total_amount
+FROM fact_sales GROUP BY 1"""
+
+# transactions with planted text faults, by order number modulo 50 (see sources/testdata)
+_FAULTY = """
+, t AS (
+    SELECT l.l_orderkey % 50 AS n, CAST(l.l_orderkey AS VARCHAR) AS o, CAST(o.o_custkey AS VARCHAR) AS c, l.l_partkey AS p,
+           o.o_custkey, CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR) AS q, strftime(o.o_orderdate, '%Y-%m-%d') AS d
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+)"""
+
+QUERIES["stream_rejects"] = _FAULTY + """
+SELECT CASE n WHEN 1 THEN ' ' || o || '  ' ELSE o END AS orderID,
+       CASE n WHEN 2 THEN '  ' WHEN 3 THEN ' ' || c ELSE c END AS Customer_ID, CAST(p AS VARCHAR) AS Product_ID,
+       CASE n WHEN 4 THEN 'x' WHEN 5 THEN q || '.5' WHEN 6 THEN q || '.0' ELSE q END AS quantity,
+       CASE n WHEN 7 THEN '2017-13-01' WHEN 8 THEN replace(d, '-', '/') WHEN 9 THEN d || ' 23:59:59' ELSE d END AS date,
+       CASE WHEN n = 2 THEN 'missing_customer_id' WHEN n IN (4, 5) THEN 'bad_quantity' WHEN n = 7 THEN 'bad_date'
+            WHEN o_custkey % 7 = 3 THEN 'unknown_customer' ELSE 'unknown_product' END AS reject_reason
+FROM t WHERE n IN (2, 4, 5, 7) OR p % 11 = 5"""
+
+QUERIES["facts_after_retry"] = f"""
+SELECT fs.orderID, fs.Customer_ID, fs.Product_ID, fs.full_date, fs.quantity,
+       CAST(fs.total_amount AS DOUBLE) AS total_amount, ds.storeName, dsup.supplierName
+FROM fact_sales fs, dim_product dp, dim_store ds, dim_supplier dsup
+WHERE dp.Product_ID = fs.Product_ID AND ds.storeID = dp.storeID AND dsup.supplierID = dp.supplierID
+  AND CAST(fs.orderID AS BIGINT) % 50 NOT IN (2, 4, 5, 7) AND CAST(fs.Product_ID AS BIGINT) % 11 <> 5"""
+
+QUERIES["master_rejects"] = """
+SELECT 'dim_product' AS table_name,
+       CASE p_partkey % 50 WHEN 1 THEN 'missing_product_id' WHEN 2 THEN 'bad_price' ELSE 'duplicate_key' END AS reject_reason,
+       COUNT(*) AS n_rows, COUNT(CASE WHEN p_partkey % 50 <> 1 THEN 1 END) AS n_keys
+FROM part WHERE p_partkey % 50 IN (1, 2, 3) GROUP BY 2"""
+
+QUERIES["products_after_faults"] = """
+SELECT Product_ID, Product_Category, CAST(Product_ID AS BIGINT) % 50 <> 4 AS has_price
+FROM dim_product WHERE CAST(Product_ID AS BIGINT) % 50 NOT IN (1, 2)"""
+
+QUERIES["rollup_refreshed"] = QUERIES["rollup_quarterly_materialized"]
+
+
 def sql(name: str) -> str:
     body = QUERIES[name]
     stripped = body.lstrip()

@@ -114,6 +114,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _filesystem(spark, path)
+    fs.mkdirs(p)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a staging folder of the library's own."""
     fs, p = _filesystem(spark, path)

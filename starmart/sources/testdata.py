@@ -84,15 +84,47 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM-dd").alias("date")))
 
 
+#: Remainders by which ``with_faults`` and ``split_masters`` plant their cases.
+FAULT_CYCLE, LATE_CUSTOMERS, ABSENT_PRODUCTS = 50, 7, 11
+
+
+def with_faults(tx: DataFrame) -> DataFrame:
+    """Transactions with planted text faults, by order number: no customer, half and no
+    quantities, an impossible date; and with forms that are fine: blanks around ids, slashes
+    in dates, a time of day, whole numbers with a fraction of zero."""
+    n = F.col("orderID").cast("long") % FAULT_CYCLE
+    return tx.select(
+        F.when(n == 1, F.concat(F.lit(" "), "orderID", F.lit("  "))).otherwise(F.col("orderID")).alias("orderID"),
+        F.when(n == 2, F.lit("  ")).when(n == 3, F.concat(F.lit(" "), "Customer_ID")).otherwise(F.col("Customer_ID")).alias("Customer_ID"),
+        "Product_ID",
+        F.when(n == 4, F.lit("x")).when(n == 5, F.concat("quantity", F.lit(".5"))).when(n == 6, F.concat("quantity", F.lit(".0")))
+        .otherwise(F.col("quantity")).alias("quantity"),
+        F.when(n == 7, F.lit("2017-13-01")).when(n == 8, F.translate("date", "-", "/")).when(n == 9, F.concat("date", F.lit(" 23:59:59")))
+        .otherwise(F.col("date")).alias("date"))
+
+
+def with_master_faults(products: DataFrame) -> DataFrame:
+    """Products with planted faults, by product number: no id, a price that is no number,
+    a second row with another price, a blank price."""
+    n = F.col("Product_ID").cast("long") % FAULT_CYCLE
+    price = F.col("`price$`")
+    rows = products.withColumns({
+        "Product_ID": F.when(n == 1, F.lit("")).otherwise(F.col("Product_ID")),
+        "price$": F.when(n == 2, F.lit("abc")).when(n == 4, F.lit(" ")).otherwise(price)})
+    return rows.unionByName(products.filter(n == 3).withColumn("price$", F.lit("1.00")))
+
+
 def land_transactions(spark: SparkSession, sf_dir: str, landing_dir: str,
-                      n_files: int = 4, fmt: str = "csv") -> str:
+                      n_files: int = 4, fmt: str = "csv", faults: bool = False) -> str:
     """Write the transactions as ``n_files`` files into a landing folder, the
     way an upstream system drops them, for the streaming loader to pick up.
     Rows are spread by order so one order's lines land in one file."""
     tx = transactions(spark, sf_dir).repartition(n_files, "orderID")
+    tx = with_faults(tx) if faults else tx
     w = tx.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).csv(landing_dir)
+        # blanks around values stay, as upstream wrote them
+        w.option("header", True).options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(landing_dir)
     else:
         w.format(fmt).save(landing_dir)
     return landing_dir

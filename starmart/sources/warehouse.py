@@ -9,7 +9,6 @@ partitioned by ``batch_id``.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import uuid
@@ -17,7 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmart import schemas
-from starmart.session import checkpoint_root, path_exists
+from starmart.session import checkpoint_root, make_folder, path_exists
 
 DIMENSIONS = {
     "dim_customer": schemas.DIM_CUSTOMER,
@@ -44,9 +43,6 @@ SCHEMAS = {**DIMENSIONS, FACT: schemas.FACT_SALES, REJECTS: schemas.REJECTS,
            RESOLVED: schemas.REJECTS_RESOLVED, LOADS: schemas.LOADS, CLOSED: schemas.LOADS_CLOSED,
            STREAMS: schemas.STREAMS, MANIFEST: schemas.MANIFEST, WAITING: schemas.WAITING, ARRIVALS: schemas.ARRIVALS,
            ARRIVALS_SEEN: schemas.ARRIVALS_SEEN, MASTER_REJECTS: schemas.MASTER_REJECTS, DELTAS: schemas.ROLLUP_DELTAS}
-PARTITIONS = {FACT: ("year", "month", "batch_id"), REJECTS: ("batch_id",),
-              RESOLVED: ("resolved_in",), LOADS: ("batch_id",), MANIFEST: ("batch_id",), WAITING: ("key_bucket", "batch_id"),
-              ARRIVALS: ("load_id",), ARRIVALS_SEEN: ("retry_id",), MASTER_REJECTS: ("load_id",), DELTAS: ("year", "quarter", "batch_id")}
 
 
 @dataclass
@@ -87,15 +83,10 @@ class Warehouse:
         return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
 
     def create(self) -> "Warehouse":
-        """Create every table empty, so each can be read before its first load
-        (independent small jobs, submitted concurrently)."""
-        def make(name):
-            empty = self.spark.createDataFrame([], SCHEMAS[name])
-            parts = PARTITIONS.get(name)
-            w = empty.write.mode("ignore")
-            (w.partitionBy(*parts) if parts else w).parquet(self.path(name))
-        with ThreadPoolExecutor(max_workers=len(SCHEMAS)) as pool:
-            list(pool.map(make, SCHEMAS))
+        """Create every table's folder, so each can be read before its first load: an
+        empty folder reads as an empty table of the declared schema."""
+        for name in SCHEMAS:
+            make_folder(self.spark, self.path(name))
         return self
 
     def star(self) -> Star:
