@@ -9,15 +9,18 @@ its several most probable parts and ranked there by exact distance in double
 precision. How many parts a query visits is chosen on sample queries, as the least
 number that reaches ``recall`` of their true neighbours in the sample.
 
-Parts are dealt in blocks of about ``block_rows`` vectors, so a part that holds a large
-share of all rows (a very common vector) is many tasks; each block gives a query's
-best k, and the best k of those are kept: nothing is dropped.
+The number of parts grows with the square root of the rows, to ``MAX_PARTS``.
+
+Parts are dealt in blocks of about ``block_rows`` vectors and ``query_rows`` queries, so a
+part that holds a large share of all rows (a very common vector) is many tasks; each
+block gives a query's best k, and the best k of those are kept: nothing is dropped.
 
 Vectors that are null, all zero, or hold a null, NaN or infinite component take no
-part; vectors of another length than the sample's first neither (a distance is not
-defined). Equal distances go to the smaller id, rows that repeat an id stand once
-(equal ids cannot be told apart). An empty table gives no rows. Columns other than
-the two named are ignored.
+part; vectors of another length than the most common one (of equally common ones the
+smallest) neither, as no distance to the others is defined. Equal distances go to the
+smaller id. Rows that repeat an id stand once, with the smallest of their vectors
+(compared component by component). An empty table gives no rows. Columns other than the
+two named are ignored.
 """
 
 from __future__ import annotations
@@ -32,11 +35,13 @@ from .common import small_batches, staged, table
 
 SAMPLE = 6_000
 NEIGHBOURS = 10
-PART_ROWS = 1_500
-MAX_PARTS = 64
+#: Parts are the square root of the rows over this, MAX_PARTS at most.
+PART_ROOT, MAX_PARTS = 4, 64
 HIDDEN, EPOCHS = 128, 60
 RECALL = 0.94
-BLOCK_ROWS = 4_000
+BLOCK_ROWS, QUERY_ROWS = 4_000, 2_000
+#: Queries measured against a block of vectors by one matrix product.
+PRODUCT_ROWS = 200
 K = 10
 
 
@@ -182,6 +187,25 @@ def route_rows(index: Index):
     return run
 
 
+def nearest_exact(x: np.ndarray, queries: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int):
+    """Per query the places of its k nearest rows of x (``ids`` ascending, none of its own
+    id) and their distances. A matrix product picks the rows that can be among them, with
+    a margin over its rounding; distances and ties are settled on the vectors themselves."""
+    norm = (x * x).sum(1)
+    for at in range(0, len(queries), PRODUCT_ROWS):
+        q = queries[at : at + PRODUCT_ROWS]
+        squares = (q * q).sum(1)
+        rough = norm - 2 * q @ x.T + squares[:, None]
+        rough[own[at : at + PRODUCT_ROWS, None] == ids] = np.inf
+        edge = np.partition(rough, k - 1, axis=1)[:, k - 1] if len(x) > k else np.full(len(q), np.inf)
+        margin = 1e-14 * x.shape[1] * (norm.max() + squares)
+        for i in range(len(q)):
+            near = np.flatnonzero((rough[i] <= edge[i] + margin[i]) & np.isfinite(rough[i]))
+            d = np.sqrt(((x[near] - q[i]) ** 2).sum(1))
+            best = np.argsort(d, kind="stable")[:k]
+            yield at + i, near[best], d[best]
+
+
 def rank_block(k: int):
     """Cogrouped function: a block's queries and vectors to each query's k nearest in it."""
 
@@ -190,52 +214,54 @@ def rank_block(k: int):
         if len(queries) and len(vectors):
             vectors = vectors.sort_values("vec_id", kind="stable")
             x, ids = np.stack(vectors["embedding"].to_numpy()), vectors["vec_id"].to_numpy()
-            for query_id, q in zip(queries["query_id"].to_numpy(), queries["embedding"]):
-                d = np.sqrt(((x - q) ** 2).sum(1))
-                d[ids == query_id] = np.inf
-                best = np.argsort(d, kind="stable")[:k] if len(d) <= 4 * k else None
-                if best is None:
-                    edge = np.partition(d, k - 1)[k - 1]
-                    near = np.flatnonzero(d <= edge)
-                    best = near[np.argsort(d[near], kind="stable")][:k]
-                best = best[np.isfinite(d[best])]
-                out["query_id"] += [query_id] * len(best)
+            own = queries["query_id"].to_numpy()
+            for i, best, d in nearest_exact(x, np.stack(queries["embedding"].to_numpy()), own, ids, k):
+                out["query_id"] += [own[i]] * len(best)
                 out["vec_id"] += ids[best].tolist()
-                out["score"] += d[best].tolist()
+                out["score"] += d.tolist()
         return pd.DataFrame(out).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
     return run
 
 
-def build_index(vectors: DataFrame, n: int, sample: int = SAMPLE, part_rows: int = PART_ROWS) -> Index | None:
+def build_index(vectors: DataFrame, n: int, sample: int = SAMPLE, parts: int | None = None) -> Index | None:
     """Fit on about ``sample`` of the n vectors, chosen by a hash of the id."""
     share = min(1.0, 0.95 * sample / max(1, n))
-    rows = vectors.where(F.pmod(F.xxhash64("vec_id", F.lit("index")), F.lit(1_000_000)) < int(1_000_000 * share) + 1).orderBy("vec_id").limit(sample).collect()
-    rows = [r for r in rows if len(r["embedding"]) == len(rows[0]["embedding"])]
+    rows = vectors.where(F.pmod(F.xxhash64("vec_id", F.lit("index")), F.lit(1 << 40)) <= int((1 << 40) * share)).orderBy("vec_id").limit(sample).collect()
     if not rows:
         return None
-    return Index(np.array([r["embedding"] for r in rows], float), min(MAX_PARTS, max(1, n // part_rows)))
+    return Index(np.array([r["embedding"] for r in rows], float), parts or min(MAX_PARTS, max(1, round(n**0.5 / PART_ROOT))))
+
+
+def usual_length(vectors: DataFrame) -> tuple[int, int]:
+    """The most common length (the smallest of equally common ones) and the rows that have it."""
+    found = vectors.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
+    return (found["dim"], found["n"]) if found else (0, 0)
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = K, sample: int = SAMPLE, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = K, sample: int = SAMPLE, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS,
+           parts: int | None = None) -> DataFrame:
     """The k nearest other vectors of each query found: query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     small_batches(spark)
-    vectors = valid_vectors(vectors).dropDuplicates(["vec_id"])
-    queries = valid_vectors(queries).dropDuplicates(["vec_id"])
-    n = vectors.count()
-    index = build_index(vectors, n, sample)
+    vectors, queries = valid_vectors(vectors), valid_vectors(queries)
+    dim, n = usual_length(vectors)
+    one_each = lambda df: df.where(F.size("embedding") == dim).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    vectors, queries = one_each(vectors), one_each(queries)
+    index = build_index(vectors, n, sample, parts) if n else None
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    fits = F.size("embedding") == index.dim
-    placed = staged(vectors.where(fits).mapInArrow(assign_rows(index), "vec_id long, embedding array<double>, part int"), "ann-parts")
-    blocks = placed.groupBy("part").agg(F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias("blocks"))  # at most MAX_PARTS rows
-    blocks = F.broadcast(blocks)
-    left = (queries.where(fits).mapInArrow(route_rows(index), "query_id long, embedding array<double>, part int").join(blocks, "part")
-            .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("part", "block", "query_id", "embedding"))
+    placed = staged(vectors.mapInArrow(assign_rows(index), "vec_id long, embedding array<double>, part int"), "ann-parts")
+    routed = queries.mapInArrow(route_rows(index), "query_id long, embedding array<double>, part int")
+    rows = lambda df, most, name: df.groupBy("part").agg(F.ceil(F.count("*") / F.lit(most)).cast("int").alias(name))
+    blocks = F.broadcast(rows(placed, block_rows, "blocks").join(rows(routed, query_rows, "query_blocks"), "part"))  # at most MAX_PARTS rows
+    upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    key = ["part", "block", "query_block"]
+    left = (routed.join(blocks, "part").withColumn("query_block", F.pmod(F.xxhash64("query_id"), F.col("query_blocks")).cast("int"))
+            .withColumn("block", upto("blocks")).select(*key, "query_id", "embedding"))
     right = (placed.join(blocks, "part").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
-             .select("part", "block", "vec_id", "embedding"))
-    found = left.groupBy("part", "block").cogroup(right.groupBy("part", "block")).applyInPandas(rank_block(k), "query_id long, vec_id long, score double")
+             .withColumn("query_block", upto("query_blocks")).select(*key, "vec_id", "embedding"))
+    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(rank_block(k), "query_id long, vec_id long, score double")
     by = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 

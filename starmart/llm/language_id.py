@@ -8,10 +8,14 @@ The posterior of a language L for a row multiplies
 * the host's prior P(L | host): the host's language counts, smoothed toward the
   prior of its parent (the address suffix), which is smoothed toward the corpus.
 All counts are grouped aggregations over all rows; what reaches the driver has a
-fixed size (languages x buckets, and languages x languages; there are at most 26 x 26 codes). Hosts and suffixes stay distributed and are joined.
-
-The languages are the two-letter codes declared on at least ``MIN_ROWS`` rows with
-text, whatever they are (the codes of no language, ``NO_LANGUAGE``, count as null). A
+fixed size (languages x buckets, and languages x languages; there are at most 26^2 + 26^3 codes). Hosts and suffixes stay distributed and are joined.
+
+A declared value counts by its primary subtag (``pt-BR``: ``pt``, ``zh_Hant``: ``zh``); a
+three-letter code with a two-letter one of the same language counts as that (``est``:
+``et``), others stand for themselves (``fil``), and values whose primary subtag is
+neither, or names no language (``NO_LANGUAGE``), count as null. The languages are the
+codes declared on at least ``MIN_SHARE`` of the rows that declare one and have text, and
+on ``MIN_ROWS`` rows at least, whatever they are. A
 further hypothesis, ``und``, stands for texts of none of them: each of its trigrams is
 as likely as FIT above an unseen one, and it has its own counts by declared language,
 suffix and host. Rows whose largest posterior is that of ``und`` are rejected, as are
@@ -35,10 +39,28 @@ from pyspark.sql import functions as F
 from .common import small_batches, staged, table
 
 UNKNOWN = "und"
-#: Rows with text that must declare a language for it to be one.
-MIN_ROWS = 10
-#: Declared values that name no language.
-NO_LANGUAGE = ("und", "unknown", "unk", "mul", "mis", "zxx", "none", "null", "n/a")
+#: The rows that must declare a language for it to be one: so many, and such a share of all that declare any.
+MIN_ROWS, MIN_SHARE = 10, 1e-6
+#: Codes that name no language.
+NO_LANGUAGE = ("und", "unk", "mul", "mis", "zxx")
+#: The three-letter codes of ISO 639-2 (terminological, then bibliographic) and
+#: the withdrawn two-letter ones, each with its two-letter code of ISO 639-1.
+CODES = """
+aar aa abk ab afr af aka ak amh am ara ar arg an asm as ava av ave ae aym ay aze az bak ba bam bm bel be ben bn bis bi bod bo
+bos bs bre br bul bg cat ca ces cs cha ch che ce chu cu chv cv cor kw cos co cre cr cym cy dan da deu de div dv dzo dz ell el
+eng en epo eo est et eus eu ewe ee fao fo fas fa fij fj fin fi fra fr fry fy ful ff gla gd gle ga glg gl glv gv grn gn guj gu
+hat ht hau ha heb he her hz hin hi hmo ho hrv hr hun hu hye hy ibo ig ido io iii ii iku iu ile ie ina ia ind id ipk ik isl is
+ita it jav jv jpn ja kal kl kan kn kas ks kat ka kau kr kaz kk khm km kik ki kin rw kir ky kom kv kon kg kor ko kua kj kur ku
+lao lo lat la lav lv lim li lin ln lit lt ltz lb lub lu lug lg mah mh mal ml mar mr mkd mk mlg mg mlt mt mon mn mri mi msa ms
+mya my nau na nav nv nbl nr nde nd ndo ng nep ne nld nl nno nn nob nb nor no nya ny oci oc oji oj ori or orm om oss os pan pa
+pli pi pol pl por pt pus ps que qu roh rm ron ro run rn rus ru sag sg san sa sin si slk sk slv sl sme se smo sm sna sn snd sd
+som so sot st spa es sqi sq srd sc srp sr ssw ss sun su swa sw swe sv tah ty tam ta tat tt tel te tgk tg tgl tl tha th tir ti
+ton to tsn tn tso ts tuk tk tur tr twi tw uig ug ukr uk urd ur uzb uz ven ve vie vi vol vo wln wa wol wo xho xh yid yi yor yo
+zha za zho zh zul zu
+alb sq arm hy baq eu bur my chi zh cze cs dut nl fre fr geo ka ger de gre el ice is mac mk mao mi may ms per fa rum ro slo sk
+tib bo wel cy
+iw he in id ji yi
+""".split()
 BUCKETS = 1 << 14
 BLOCK_BYTES = 2_000_000
 TEMPER = 0.25
@@ -52,8 +74,9 @@ FIT = 2.0
 
 
 def evidence(df: DataFrame, key: str, text: Column, declared: Column, suffix: Column, host: Column) -> DataFrame:
-    declared = F.lower(F.trim(declared))
-    declared = F.when(~declared.isin(*NO_LANGUAGE) & (declared != ""), F.substring(declared, 1, 2))
+    code = F.regexp_extract(F.lower(F.trim(declared)), r"^([a-z]{2,3})(?:[-_].*)?$", 1)
+    code = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for x in CODES]), code), code)
+    declared = F.when(~code.isin(*NO_LANGUAGE) & (code != ""), code)
     return df.select(F.col(key).cast("long").alias("key"), text.alias("text"), declared.alias("declared"),
                      F.lower(suffix).alias("suffix"), F.lower(host).alias("host"))
 
@@ -90,11 +113,13 @@ def _trigrams(texts: pa.Array):
         at += n
 
 
-def declared_languages(rows: DataFrame, least: int = MIN_ROWS) -> tuple[str, ...]:
-    """The declared codes of at least ``least`` rows with a trigram, the most frequent first."""
-    known = rows.where(F.col("declared").rlike("^[a-z]{2}$") & (F.octet_length("text") > 2))
-    found = known.groupBy("declared").agg(F.count("*").alias("n")).where(F.col("n") >= least).collect()  # at most 26 x 26 rows
-    return tuple(r["declared"] for r in sorted(found, key=lambda r: (-r["n"], r["declared"])))
+def declared_languages(rows: DataFrame, least: int = MIN_ROWS, share: float = MIN_SHARE) -> tuple[str, ...]:
+    """The codes declared on at least ``least`` rows with a trigram and on at least ``share``
+    of all such rows that declare one, the most frequent first."""
+    known = rows.where(F.col("declared").rlike("^[a-z]{2,3}$") & (F.octet_length("text") > 2))
+    found = known.groupBy("declared").agg(F.count("*").alias("n")).collect()  # at most 26^2 + 26^3 rows
+    least = max(least, share * sum(r["n"] for r in found))
+    return tuple(r["declared"] for r in sorted(found, key=lambda r: (-r["n"], r["declared"])) if r["n"] >= least)
 
 
 def count_rows(languages: tuple[str, ...]):

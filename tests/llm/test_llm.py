@@ -375,6 +375,27 @@ def test_languages_are_those_declared(spark):
     assert language_id.declared_languages(language_id.document_evidence(df), 21) == ()
 
 
+def test_declared_codes_count_by_language(spark):
+    said = ["est", "ET", "deu", "ger", "de_AT", "fil", "pt-BR", "zh_Hant", "chi", "iw", "nds", "english", "mul", "x-klingon", " Fr ", "n/a", None]
+    df = spark.createDataFrame([(i, "long " * 5_000, x, None) for i, x in enumerate(said)], "doc_id long, text string, lang string, source string")
+    got = {r["key"]: r["declared"] for r in language_id.document_evidence(df).collect()}
+    assert [got[i] for i in range(len(said))] == ["et", "et", "de", "de", "de", "fil", "pt", "zh", "zh", "he", "nds", None, None, None, "fr", None, None]
+    assert len(language_id.CODES) == 2 * len(set(language_id.CODES[::2]))
+    rows = language_id.document_evidence(df)
+    assert language_id.declared_languages(rows, 1) == ("de", "et", "zh", "fil", "fr", "he", "nds", "pt")
+    assert language_id.declared_languages(rows, 1, 2 / 12) == ("de", "et", "zh")
+
+
+@pytest.mark.parametrize("est, spa", [("est", "es"), ("et-EE", "spa")])
+def test_three_letter_codes_do_not_mix_languages(spark, tmpdir_path, est, spa):
+    rng = random.Random(16)
+    words = {est: ["õunapuu", "ja", "öö", "mõis"], spa: ["señor", "pero", "año", "está"]}
+    rows = [(i, " ".join(rng.choices(words[x], k=60)), x, "h") for i, x in enumerate([est, spa] * 20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.lit(0).cast("long"))
+    kept = corpus_pipeline.keep_identified(spark, df, tmpdir_path).collect()
+    assert {r["doc_id"]: r["lang"] for r in kept} == {i: ("et", "es")[i % 2] for i in range(40)}
+
+
 @pytest.mark.parametrize("code", [None, "und", "", "3x"])
 def test_documents_stay_without_any_declared_language(spark, tmpdir_path, code):
     rows, df = language_rows(spark, lambda x: code)
@@ -444,6 +465,41 @@ def test_learned_partitions(spark):
     assert ann.search(few.limit(0), few.limit(0)).count() == 0
 
 
+def test_learned_partitions_of_uneven_vectors(spark):
+    """At least 16 parts; vectors of other lengths, one of them the first; ids with several vectors."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(100, 16)).repeat(40, 0) + 0.3 * rng.normal(size=(4000, 16))
+    x = x.astype(np.float32).astype(float)
+    x[3000:3600] = x[3000]
+    rows = [(-5, [1.0] * 3), (9001, [1.0, 2.0])] + [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(i, (x[i] + 1).tolist()) for i in (0, 7, 200)] + [(0, x[0].tolist()), (100, [0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    wanted = df.where("vec_id % 100 = 0")
+    for seed, many in ((0, df.repartition(5)), (1, df.orderBy(F.desc("vec_id")))):
+        got = collections.defaultdict(list)
+        for r in ann.search(many, wanted, block_rows=200, query_rows=3).orderBy("query_id", "rank").collect():
+            got[r["query_id"]].append((r["vec_id"], r["score"]))
+        hits = total = 0
+        for q in range(0, 4000, 100):
+            d = np.sqrt(((x - x[q]) ** 2).sum(1))
+            best = sorted((v, i) for i, v in enumerate(d) if i != q)[:10]
+            assert len(got[q]) == 10 and all(abs(s - d[i]) < 1e-12 for i, s in got[q])
+            hits += len({i for _, i in best} & {i for i, _ in got[q]})
+            total += 10
+        assert set(got) == set(range(0, 4000, 100)) and hits / total >= 0.9
+    assert ann.build_index(ann.valid_vectors(df).where(F.size("embedding") == 16), 4000).parts >= 16
+
+
+def test_nearest_exact_equals_brute_force():
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(700, 3)) * 2) + rng.choice([0, 1e6], size=(700, 1))
+    ids = np.arange(700) * 3
+    for k, n in ((1, 700), (10, 700), (10, 7), (10, 11)):
+        for i, best, d in ann.nearest_exact(x[:n], x[:450], ids[:450], ids[:n], k):
+            want = sorted((float(np.sqrt(((x[j] - x[i]) ** 2).sum())), j) for j in range(n) if j != i)[:k]
+            assert [(float(a), int(b)) for a, b in zip(d, best)] == want
+
+
 def test_balanced_parts():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(900, 8))
