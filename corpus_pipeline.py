@@ -7,7 +7,7 @@ returns the packed pieces, the others rows with the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm import decontam, jaccard_join, language_id, packing, secrets
@@ -16,10 +16,16 @@ from starmart.llm.common import staged, table
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def row_key(seed: int, *columns: str) -> Column:
+    """A hash of the columns that tells nulls apart from values. Two of other seeds tell
+    apart rows that share one by chance."""
+    return F.xxhash64(F.lit(seed), *[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
+
+
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with an identified language; the others go. ``lang`` becomes the
     identified one. Rows that repeat a doc_id are judged one by one, by their text."""
-    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text", "lang", "source"))
+    keyed = docs.withColumn("row_key", row_key(1, "doc_id", "text", "lang", "source"))
     rows = language_id.evidence(keyed, "row_key", F.col("text"), F.col("lang"), F.lit(None).cast("string"), F.col("source"))
     found = language_id.identify(rows).where("accepted").select(F.col("key").alias("row_key"), F.col("lang").alias("found")).dropDuplicates(["row_key"])
     return keyed.join(found, "row_key").withColumn("lang", F.col("found")).select(*COLUMNS)
@@ -28,10 +34,10 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (the one with the smallest hash of its
     doc_id and text); of wholly equal rows one. Documents without words stay."""
-    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
+    keyed = docs.withColumn("row_key", row_key(1, "doc_id", "text")).withColumn("row_key_2", row_key(2, "doc_id", "text"))
     groups = jaccard_join.near_duplicates(keyed.select(F.col("row_key").alias("doc_id"), "text"))
     kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("row_key")).distinct()
-    return keyed.join(kept, "row_key").dropDuplicates(["row_key"]).select(*COLUMNS)
+    return keyed.join(kept, "row_key").dropDuplicates(["row_key", "row_key_2"]).select(*COLUMNS)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
