@@ -83,6 +83,27 @@ def rollup_labelled(df: DataFrame, levels: Sequence[tuple[str, str | None]], agg
     return out.select(*sel, *rest)
 
 
+def rollup_additive(df: DataFrame, levels: Sequence[tuple[str, str | None]], sums: dict[str, Column],
+                    level_col: str = "grouping_level") -> DataFrame:
+    """``rollup_labelled`` for sums, as a cascade: every level is summed from the next
+    finer level's result, so the input is aggregated once, at the finest level, and no
+    row is copied for each level (a ``ROLLUP`` expands every row ``len(levels) + 1``
+    times). Decimal sums are decimal(38, s) at every level; an empty input gives no rows."""
+    names = [c for c, _ in levels]
+    level = df.groupBy(*names).agg(*[F.sum(m).alias(n) for n, m in sums.items()])
+    scale = {f.name: getattr(f.dataType, "scale", None) for f in level.schema}
+    wide = lambda n: F.col(n) if scale[n] is None else F.col(n).cast(f"decimal(38,{scale[n]})")
+    out = None
+    for kept in range(len(names), -1, -1):
+        if kept < len(names):
+            level = level.groupBy(*names[:kept]).agg(*[F.sum(n).alias(n) for n in sums], F.count("*").alias("_rows")).where("_rows > 0")
+        level = level.select(*names[:kept], *[wide(n).alias(n) for n in sums])
+        shown = [F.col(c) if i < kept else F.lit(label).cast(df.schema[c].dataType).alias(c) for i, (c, label) in enumerate(levels)]
+        rows = level.select(*shown, *sums, F.lit(2 ** (len(names) - kept) - 1).alias(level_col))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def conditional_split(df: DataFrame, group_by, condition: Column, measures: dict[str, Column],
                       labels: tuple[str, str] = ("H1", "H2"), totals: dict[str, str] | None = None) -> DataFrame:
     """Hand-written pivot: each measure summed where ``condition`` holds

@@ -329,10 +329,10 @@ def q17_rollup(star: Star) -> DataFrame:
            .agg(F.sum("total_amount").alias("_rev"))
            .join(_product_names(star).select("product_key", "Product_ID", "storeName", "supplierName"),
                  "product_key"))
-    rolled = olap.rollup_labelled(
+    rolled = olap.rollup_additive(
         per, [("year", None), ("storeName", ALL_STORES), ("supplierName", ALL_SUPPLIERS),
               ("Product_ID", ALL_PRODUCTS)],
-        [F.sum("_rev").alias("_rev")])
+        {"_rev": F.col("_rev")})
     # sort outside the roll-up (a ROLLUP cannot sort on ungrouped columns)
     return (rolled.orderBy(F.col("year").asc_nulls_last(), "grouping_level", "storeName", "supplierName", "Product_ID")
             .select("storeName", "supplierName", "Product_ID", "year",

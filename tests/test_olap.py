@@ -109,3 +109,16 @@ def test_conditional_split_pivot_drill_slice(spark):
     assert d == {(2017, 1): 10.0, (2017, 3): 5.0, (2017, 4): 2.0, (2018, 1): 1.0}
     s = olap.slice_dice(df, {"year": 2017, "c": ["a"]})
     assert s.count() == 2
+
+
+def test_rollup_additive_equals_rollup_without_expanding_rows(spark):
+    df = spark.createDataFrame([(2017, "A", "p", 1), (2017, "A", None, 2), (2017, None, "q", 4), (2018, "A", "p", 8), (2018, "A", "p", None),
+                                (None, "B", "q", 16)], "y int, s string, p string, v long").withColumn("d", F.col("v").cast("decimal(12,2)"))
+    levels = [("y", None), ("s", "ALL STORES"), ("p", "ALL PRODUCTS")]
+    for rows in (df, df.limit(0)):
+        want = olap.rollup_labelled(rows, levels, [F.sum("v").alias("v"), F.sum("d").alias("d")])
+        got = olap.rollup_additive(rows, levels, {"v": F.col("v"), "d": F.col("d")})
+        place = lambda r: tuple(str(x) for x in r)
+        assert sorted(map(tuple, got.select(*want.columns).collect()), key=place) == sorted(map(tuple, want.collect()), key=place)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
