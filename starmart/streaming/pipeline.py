@@ -23,6 +23,7 @@ or a driver restart.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -30,6 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from starmart.sources.files import stream_transactions
 from starmart.sources.warehouse import Warehouse
 from starmart.streaming.loader import WarehouseLoader
+from starmart.streaming.progress import ProgressTable
 
 #: Input of one micro-batch.
 DEFAULT_TRIGGER_BYTES = "4g"
@@ -50,7 +52,8 @@ def start_loader(spark: SparkSession, warehouse: Warehouse, landing_dir: str,
                  max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = DEFAULT_TRIGGER_BYTES,
                  available_now: bool = True,
                  processing_time: str = "10 seconds", glob: str | None = None,
-                 loader: WarehouseLoader | None = None) -> tuple[StreamingQuery, WarehouseLoader]:
+                 loader: WarehouseLoader | None = None,
+                 progress: ProgressTable | None = None) -> tuple[StreamingQuery, WarehouseLoader]:
     """Start the streaming load of ``landing_dir`` into ``warehouse``.
 
     Micro-batches are bounded by bytes, or by files if ``max_files_per_trigger`` is
@@ -69,6 +72,10 @@ def start_loader(spark: SparkSession, warehouse: Warehouse, landing_dir: str,
     w = stream.writeStream.foreachBatch(
         lambda df, n: loader.micro_batch(df, first_id + n, f"stream:{source}")).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    if progress:
+        name = f"starmart-{source}-{uuid.uuid4().hex[:8]}"
+        progress.follow(name, first_id)
+        w = w.queryName(name)
     return w.start(), loader
 
 

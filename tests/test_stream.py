@@ -88,3 +88,33 @@ def test_processing_time_mode_picks_up_new_files_and_retries(spark, tmpdir_path,
     assert sorted(r.orderID for r in wh.read("fact_sales").collect()) == ["O1", "O2", "O3"]
     assert loader.open_rejects().count() == 0
     assert wh.preview("fact_sales", 2).count() == 2
+
+
+def test_progress_table_names_every_batch_of_the_ledger(spark, tmpdir_path, new_wh):
+    # One row per micro-batch, by the ledger's batch ids
+    import os
+    import time
+
+    from starmart.streaming.progress import ProgressTable, read_progress
+    wh = new_wh("s4")
+    loader = WarehouseLoader(wh)
+    loader.load_masters(raw_customers(spark, CUSTOMERS), raw_products(spark, PRODUCTS))
+    landing = f"{tmpdir_path}/landing4"
+    os.makedirs(landing, exist_ok=True)
+    for i in range(2):
+        with open(f"{landing}/part-{i}.csv", "w") as fh:
+            fh.write(f"orderID,Customer_ID,Product_ID,quantity,date\nO{i},C1,P1,1,2017-01-02\n")
+    assert read_progress(spark, wh.root).count() == 0
+    table = ProgressTable(spark, wh.root)
+    spark.streams.addListener(table)
+    try:
+        run_to_completion(spark, wh, landing, max_files_per_trigger=1, loader=loader, timeout_s=300, progress=table)
+        until = time.time() + 30
+        while read_progress(spark, wh.root).count() < 2 and time.time() < until:
+            time.sleep(0.5)
+    finally:
+        spark.streams.removeListener(table)
+    rows = read_progress(spark, wh.root).collect()
+    assert sorted(r.batch_id for r in rows) == [0, 1] and len(loader.reports) == 2
+    assert {r.ledger_batch_id for r in rows} == {r.batch_id for r in loader.reports}
+    assert all(r.input_rows >= 1 and r.durations["addBatch"] > 0 for r in rows)
