@@ -9,9 +9,10 @@ distance of the item to any passage there. Windows of one item that overlap are
 verified as one.
 
 The items are handed to the tasks in blocks of at most ``block_chars`` characters; a
-larger benchmark is matched block after block. Null, empty and blank items match
-nothing, as do items shorter than ``min_chars``; equal items are matched once and
-reported under each id. Null and empty texts hold nothing. Rows that repeat a doc_id
+larger benchmark is matched block after block. Items shorter than ``min_chars`` have
+no error budget: they match unchanged and as whole words only (no letter or digit
+directly before or after). Null, empty and blank items and items without a letter or
+digit match nothing; equal items are matched once and reported under each id. Null and empty texts hold nothing. Rows that repeat a doc_id
 give rows of their own. Other columns are ignored.
 """
 
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from .common import small_batches, table
 
 ERROR_RATE = 0.08
+#: Shorter items match unchanged, as whole words.
 MIN_CHARS = 20
 BLOCK_CHARS = 4_000_000
 
@@ -84,10 +86,12 @@ class Matcher:
 
         self.ids: dict[str, list[int]] = defaultdict(list)
         for item_id, text in items:
-            if len(t := normal(text)) >= min_chars:
+            t = normal(text)
+            if any(c.isalnum() for c in t):
                 self.ids[t].append(item_id)
         self.items = list(self.ids)
-        self.errors = [int(error_rate * len(t)) for t in self.items]
+        self.short = [len(t) < min_chars for t in self.items]
+        self.errors = [0 if short else int(error_rate * len(t)) for t, short in zip(self.items, self.short)]
         self.patterns: dict[int, Pattern] = {}
         found: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for i, t in enumerate(self.items):
@@ -112,9 +116,11 @@ class Matcher:
         for i, places in starts.items():
             k, item = self.errors[i], self.items[i]
             best = k + 1
+            if self.short[i]:
+                places = {s for s in places if not text[s - 1 : s].isalnum() and not text[s + len(item) : s + len(item) + 1].isalnum()}
             if any(s >= 0 and text.startswith(item, s) for s in places):
                 best = 0
-            else:
+            elif k:
                 pattern = self.patterns.get(i) or self.patterns.setdefault(i, Pattern(item))
                 lo = hi = None
                 for s in [*sorted(places), None]:

@@ -5,13 +5,15 @@ all of it. Learned filters over 8 bytes, moved 4 bytes at a time, run over each
 and are max-pooled to one vector per chunk; the chunk vectors' mean, largest and
 smallest values over the document go through a small layer to one probability.
 
-The network (embedding, filters, layers) is fitted by gradient descent on at most about
-``train_docs`` labelled documents outside the held-out fold, chosen by hash, each with
-at most ``train_chunks`` evenly spaced chunks; scores use every byte of every text.
-Inputs are bytes of the text alone.
+The network (embedding, filters, layers) is fitted by gradient descent on all chunks of
+labelled documents outside the held-out fold: the ``train_docs`` first ones in order of a
+hash of their doc_id, as far as their texts hold at most ``train_bytes`` together (a text
+that does not fit is left out whole and the next ones are tried). Scores use every byte of
+every text, however long. Inputs are bytes of the text alone.
 
 Null and empty texts are one chunk of padding and get a score like any other. Labels
-that are null are not learned from; labels of unknown documents are ignored. Without
+that are null are not learned from; labels of unknown documents are ignored; of several
+texts of one doc_id the one with the smallest hash, of several labels the smaller one counts. Without
 labels of both kinds every score is the labels' rate (0.5 if there are none). Rows
 that repeat a doc_id are rows of their own; a null doc_id is not held out; an empty
 table gives no rows; other columns are ignored.
@@ -25,14 +27,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import small_batches, staged, table
 
 WIDTH, STRIDE = 8, 4
 #: Chunks are 8 blocks of 64 bytes, and share one block with the next.
 BLOCK, CHUNK_BLOCKS = 64, 8
 CHUNK, STEP = BLOCK * CHUNK_BLOCKS, BLOCK * (CHUNK_BLOCKS - 1)
 EMBED, FILTERS, HIDDEN = 8, 32, 24
-TRAIN_DOCS, TRAIN_CHUNKS = 3_000, 12
+TRAIN_DOCS, TRAIN_BYTES = 3_000, 24_000_000
 STEPS, BATCH = 750, 48
 #: Bytes of padded text handled at once in a worker (a longer text is a block by itself).
 BLOCK_BYTES = 1_500_000
@@ -44,13 +46,12 @@ def n_chunks(size: np.ndarray) -> np.ndarray:
     return np.maximum(0, -(-(size - CHUNK) // STEP)) + 1
 
 
-def training_chunks(text: bytes, most: int = TRAIN_CHUNKS) -> np.ndarray:
-    """Evenly spaced chunks of a text, with the bytes that the last filter place reads."""
+def training_chunks(text: bytes) -> np.ndarray:
+    """All chunks of a text, with the bytes that the last filter place reads."""
     n = int(n_chunks(np.array(len(text))))
-    at = np.unique(np.linspace(0, n - 1, min(n, most)).round().astype(int))
     data = np.zeros((n - 1) * STEP + CHUNK + WIDTH, np.uint8)
     data[: len(text)] = np.frombuffer(text, np.uint8)
-    return np.stack([data[i * STEP : i * STEP + CHUNK + WIDTH - STRIDE] for i in at])
+    return np.stack([data[i * STEP : i * STEP + CHUNK + WIDTH - STRIDE] for i in range(n)])
 
 
 class Network:
@@ -156,27 +157,36 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def cut_rows(batches):
-    for batch in batches:
-        chunks = [training_chunks(t.as_buffer().to_pybytes()) for t in pc.fill_null(batch.column(1).cast(pa.large_binary()), b"")]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.tobytes() for c in chunks], pa.binary())], names=["quality", "chunks"])
-
-
-def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[Network | None, float]:
+def training_rows(docs: DataFrame, known: DataFrame, train_docs: int = TRAIN_DOCS, train_bytes: int = TRAIN_BYTES) -> DataFrame:
+    """(quality, text) of at most ``train_docs`` documents with at most ``train_bytes``
+    together, from known rows (doc_id, quality): whole texts, one for each doc_id."""
+    first = F.xxhash64(F.col("doc_id"), F.lit("quality"))
+    chosen = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(first, "doc_id").limit(train_docs)
+    texts = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), F.octet_length("text"))).alias("text"))
+    texts = staged(texts.withColumn("size", F.coalesce(F.octet_length("text"), F.lit(0))), "quality-train")
+    # at most train_docs rows: a text that does not fit into what is left is passed over
+    left, fitting = train_bytes, []
+    for r in texts.select("doc_id", "size").orderBy(first, "doc_id").collect():
+        if r["size"] <= left:
+            left -= r["size"]
+            fitting.append(r["doc_id"])
+    return texts.where(F.col("doc_id").isin(fitting)).select("quality", "text")
+
+
+def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, train_bytes: int = TRAIN_BYTES) -> tuple[Network | None, float]:
     """The network, or none without labels of both kinds, and the labels' rate."""
     known = labels.where(F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").cast("int").alias("quality"))
     n, rate = known.agg(F.count("*"), F.avg("quality")).first()
     if not n:
         return None, 0.5
-    share = min(1.0, 0.95 * train_docs / n)
-    known = known.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("quality")), F.lit(1_000_000)) < int(1_000_000 * share) + 1)
-    rows = docs.join(F.broadcast(known.limit(train_docs)), "doc_id").select("quality", "text").mapInArrow(cut_rows, "quality int, chunks binary").collect()
-    rows = sorted((bytes(r["chunks"]), r["quality"]) for r in rows[: 2 * train_docs])  # the same network whatever the order of the rows
+    found = training_rows(docs, known, train_docs, train_bytes).collect()
+    rows = sorted(((r["text"] or "").encode(), r["quality"]) for r in found)  # the same network whatever the order of the rows
     target = np.array([q for _, q in rows], float)
     if not rows or target.min() == target.max():
         return None, float(rate)
     network = Network()
-    network.fit([np.frombuffer(c, np.uint8).reshape(-1, CHUNK + WIDTH - STRIDE) for c, _ in rows], target)
+    network.fit([training_chunks(text) for text, _ in rows], target)
     return network, float(rate)
 
 

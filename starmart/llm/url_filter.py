@@ -8,12 +8,12 @@ suffixes) and judge the others.
 
 Suffix statistics are block rates of the last label and the last two labels of a
 host, by grouped aggregation over all labelled URLs, smoothed toward the overall rate.
-The trees are fitted on at most about ``train_rows`` labelled URLs (chosen by hash); everything
-else covers all rows. If the labelled URLs know one verdict only, or there are none,
+The trees are fitted on at most about ``train_rows`` labelled URLs (those with the smallest
+hashes, one of each verdict at least, however many there are); everything else covers all rows. If the labelled URLs know one verdict only, or there are none,
 the others are judged by the overall rate (allow without any).
 
 A null URL or one without ``://`` has an empty host and path, fits no rule and is
-judged by the trees as it is. Rows that repeat a page_id are rows of their own; other
+judged by the trees as it is. A URL of any length is read whole. Rows that repeat a page_id are rows of their own; other
 columns are ignored; an empty table gives no rows.
 """
 
@@ -100,7 +100,8 @@ def judge(pages: DataFrame, rules=RULES, train_rows: int = TRAIN_ROWS, threshold
                   .withColumn("label", F.when(F.col("r").isNotNull(), (F.col("r.verdict") == "block").cast("double")))
                   .withColumn("rule", F.col("r.rule")).drop("r"), "url-features")
     known = rows.where("label is not null")
-    n, blocked = known.agg(F.count("*"), F.sum("label")).first()
+    h = F.xxhash64("url", "page_id")
+    n, blocked, *lowest = known.agg(F.count("*"), F.sum("label"), *[F.min(F.when(F.col("label") == x, h)) for x in (0, 1)]).first()
     rate = (blocked or 0.0) / n if n else 0.0
     full = rows
     for i in (1, 2):
@@ -115,8 +116,9 @@ def judge(pages: DataFrame, rules=RULES, train_rows: int = TRAIN_ROWS, threshold
             "block" if rate >= threshold and n else "allow").alias("verdict"), F.when(F.col("label").isNull(), F.lit(float(rate))).alias("probability"))
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(full)
     share = min(1.0, train_rows / n)
-    chosen = vectors.where("label is not null").where(F.pmod(F.xxhash64("url", "page_id"), F.lit(1_000_000)) < int(1_000_000 * share))
-    model = GBTClassifier(labelCol="label", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=1).fit(chosen.select("features", "label").coalesce(4))
+    chosen = vectors.where("label is not null").select("features", "label", h.alias("h")).where(((F.col("h") / 2.0**64 + 0.5) < share) | F.col("h").isin(lowest))
+    chosen = chosen.repartition(4, "h").sortWithinPartitions("h")
+    model = GBTClassifier(labelCol="label", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=1).fit(chosen.select("features", "label"))
     scored = model.transform(vectors).withColumn("p", vector_to_array("probability")[1])
     return scored.select("page_id", "url", "host", "path", "rule",
                          F.when(F.col("label").isNotNull(), decided).otherwise(F.when(F.col("p") >= threshold, "block").otherwise("allow")).alias("verdict"),

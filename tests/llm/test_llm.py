@@ -553,3 +553,64 @@ def test_pipeline_stages(spark, docs, empty, tmpdir_path):
             if start is docs and name == "benchmark_decontamination":
                 left = {r["doc_id"] for r in rows.collect()}
                 assert not left & {7, 11} and 13 in left
+
+
+def test_short_benchmark_items_match_as_whole_words(spark):
+    items = [(1, "Short Item"), (2, "x9"), (3, "?!"), (4, " "), (5, None), (6, "short item"), (7, "abc def ghi jkl mno")]
+    texts = ["a short\n item here", "a shorty item", "short items", "SHORT ITEM", "ashort item", "q (x9), r", "x98 ax9 x9x", "what ?! so", "abc def ghi jkl mn0",
+             "abc def ghi jkl mno", "x98 x9", "éshort item x9é", "", None, "x9 " * 40_000]
+    rows = list(enumerate(texts))
+    want = set()
+    for d, t in rows:
+        for i, item in items:
+            item = decontam.normal(item)
+            if any(c.isalnum() for c in item) and re.search(rf"(?<![^\W_]){re.escape(item)}(?![^\W_])", decontam.normal(t)):
+                want.add((d, i, 0))
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_id", F.lit("x")).withColumn("distance", F.lit("y"))
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit("z"))
+    assert {tuple(r) for r in decontam.matches(df, bench).collect()} == want
+    assert {(0, 1, 0), (3, 6, 0), (5, 2, 0), (9, 7, 0), (10, 2, 0)} <= want and not {d for d, _, _ in want} & {1, 2, 4, 6, 7, 8, 11}
+    assert {r["doc_id"] for r in decontam.clean(df, bench).collect()} == {d for d, _ in rows} - {d for d, _, _ in want}
+
+
+def test_quality_scores_equal_a_naive_convolution():
+    rng = random.Random(21)
+    network = quality.Network(seed=2)
+    p = network.p
+    texts = ["", "a", "word " * 3, prose(rng, 90), prose(rng, 400), "é日" * 300, "x" * 511, "y" * 513, "z" * 1409]
+    for text, got in zip(texts, network.scores(pa.array(texts))):
+        data = text.encode()
+        chunks = max(0, -(-(len(data) - quality.CHUNK) // quality.STEP)) + 1
+        end = (chunks - 1) * quality.STEP + quality.CHUNK
+        padded = data.ljust(end + quality.WIDTH, b"\0")
+        vectors = []
+        for c in range(chunks):
+            best = np.zeros(quality.FILTERS)
+            for at in range(c * quality.STEP, c * quality.STEP + quality.CHUNK, quality.STRIDE):
+                window = np.concatenate([p["embed"][b] for b in padded[at : at + quality.WIDTH]])
+                best = np.maximum(best, window @ p["filters"] + p["bias"])
+            vectors.append(best)
+        v = np.array(vectors)
+        score, _ = network.head(np.concatenate([v.mean(0), v.max(0), v.min(0)])[None].astype(np.float32))
+        assert abs(score[0] - got) < 1e-5
+
+
+def test_quality_training_rows(spark):
+    rows = [(i, "x" * (1000 if i != 7 else 500_000)) for i in range(40)] + [(5, "other")] * 300 + [(None, "n"), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("quality", F.lit("clash"))
+    known = spark.createDataFrame([(i, i % 2) for i in range(60)] * 2, "doc_id long, quality int")
+    got = quality.training_rows(docs.select("doc_id", "text"), known, 60, 30_000).collect()
+    assert sum(len(r["text"] or "") for r in got) <= 30_000 and 29 <= len(got) <= 32  # whole texts, the long one is passed over
+    assert len(quality.training_rows(docs.select("doc_id", "text"), known, 60, 10**9).collect()) == 40
+    assert len(quality.training_rows(docs.select("doc_id", "text"), known, 10, 10**9).collect()) <= 10
+    chunks = quality.training_chunks(b"a" * 500_000)
+    assert len(chunks) == quality.n_chunks(np.array([500_000]))[0] and all((c[:500] == 97).any() for c in chunks)
+
+
+def test_url_sample_keeps_both_verdicts_at_any_share(spark):
+    urls = [f"http://h{i}.net/{i}" for i in range(300)] + [f"http://h{i}.org/fr/{i}" for i in range(300)] + [f"http://other{i}.de/" for i in range(20)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = url_filter.judge(df, train_rows=1).collect()
+    assert len(got) == 620 and all(r["probability"] is not None for r in got if r["rule"] is None)
+    again = {r["page_id"]: r["probability"] for r in url_filter.judge(df.repartition(5), train_rows=200).collect()}
+    assert again == {r["page_id"]: r["probability"] for r in url_filter.judge(df, train_rows=200).collect()}
