@@ -39,7 +39,7 @@ from starmart.operators import dims as D
 from starmart.operators.enrich import (CUSTOMER_KEY, PRODUCT_KEY, RAW_COLS, enrich, facts, key_bucket, rejects, retryable, store_quarters,
                                         waiting_keys)
 from starmart.session import checkpoint_root, delete_path, path_exists
-from starmart.sources import files
+from starmart.sources import buckets, files
 from starmart.sources.files import SOURCE_FILE
 from starmart.sources.warehouse import (ARRIVALS, ARRIVALS_SEEN, CLOSED, DELTAS, FACT, LOADS, MANIFEST, MASTER_REJECTS, REJECTS, RESOLVED, WAITING,
                                         Warehouse)
@@ -94,7 +94,7 @@ def source_of(raw: DataFrame) -> str:
 
 class WarehouseLoader:
     def __init__(self, warehouse: Warehouse, persist_batches: bool = False, retry_each_batch: bool = False,
-                 lookup_partitions: int | None = None):
+                 lookup_partitions: int | None = None, lookup_buckets: int | None = None):
         """``persist_batches`` caches the routed rows of each micro-batch; by
         default they are staged as Parquet. ``retry_each_batch``
         re-runs the lookups of open rejects after every micro-batch (rows
@@ -108,11 +108,16 @@ class WarehouseLoader:
         dimension is too large to broadcast, each batch then shuffles only
         its own rows for the join, instead of re-reading and re-shuffling
         the whole dimension every batch. The copies are rebuilt after every
-        master load."""
+        master load. ``lookup_buckets`` stores the same columns in the warehouse
+        instead, bucketed by business key: nothing is held in memory or rebuilt
+        after a restart, and a master load appends its new keys only."""
+        if lookup_partitions and lookup_buckets:
+            raise ValueError("lookup_partitions and lookup_buckets exclude each other")
         self.wh = warehouse
         self.persist_batches = persist_batches
         self.retry_each_batch = retry_each_batch
         self.lookup_partitions = lookup_partitions
+        self.lookup_buckets = lookup_buckets
         self._lookups: dict[str, DataFrame] = {}
         self.reports: list[BatchReport] = []
         self.master_reports: list[MasterReport] = []
@@ -435,10 +440,12 @@ class WarehouseLoader:
 
     def _lookup(self, name: str) -> DataFrame:
         key, cols = self._LOOKUP_COLS[name]
-        if not self.lookup_partitions:
+        if not self.lookup_partitions and not self.lookup_buckets:
             return self.wh.read(name).select(*cols)
         df = self._lookups.get(name)
-        if df is None:
+        if df is None and self.lookup_buckets:
+            df = self._lookups[name] = buckets.lookup(self.wh, name, key, cols, self.lookup_buckets)
+        elif df is None:
             # the join keeps an existing partitioning only if it has at least
             # as many partitions as a new shuffle would (spark.sql.shuffle.partitions)
             n = max(int(self.lookup_partitions),
@@ -450,8 +457,9 @@ class WarehouseLoader:
         return df
 
     def _drop_lookups(self) -> None:
-        for df in self._lookups.values():
-            df.unpersist()
+        if self.lookup_partitions:
+            for df in self._lookups.values():
+                df.unpersist()
         self._lookups.clear()
 
     def _rejects_of(self, batch_id: int) -> DataFrame:
