@@ -220,3 +220,35 @@ def test_phrases_with_clashing_buckets(rows, docs):
 
 def test_phrases_without_rows(empty):
     assert collocations.collocations(empty).count() == 0
+
+
+def counted_in_steps(blocks, threshold, bits, steps):
+    """Counts of the phrases that are complete after ``steps`` scans of one block each, by the operator's own steps."""
+    import numpy as np
+    import pyarrow as pa
+
+    stamps, state, done = [np.full(1 << b, collocations.UNSET, np.uint8) for b in bits], {}, {}
+    cut = [next(collocations.block_rows(1)([pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([t])], names=["lang", "text"])])) for t in blocks]
+    for step in range(steps):
+        words, tagged, hashes, n, codes = (cut[step % len(cut)].column(c)[0].values for c in ("words", "tagged", "hashes", "n", "codes"))
+        for keys, meta, count in collocations.active_counts(words, tagged, hashes.to_numpy().view(np.uint64), n.to_numpy(), codes.to_numpy(), step, len(cut), stamps):
+            for k, m, c in zip(keys.to_pylist(), meta, count):
+                old = state.get(k, (int(m), 0))
+                state[k] = (min(old[0], int(m)), old[1] + int(c))
+        for k, (m, n_seen) in list(state.items()):
+            level, start, bucket = m >> collocations.LEVEL_BITS, (m >> collocations.START_BITS) & 0xFFFF, m & 0xFFFFFFFF
+            if n_seen >= threshold and level < collocations.LONGEST and stamps[level - 1][bucket] == collocations.UNSET:
+                stamps[level - 1][bucket] = step
+            if start + len(cut) - 1 <= step:
+                done[k.split("\t")[1]] = state.pop(k)[1]
+    return {k: n for k, n in done.items() if n >= threshold}
+
+
+def test_phrases_count_a_full_cycle_when_a_bucket_is_stamped_early(monkeypatch):
+    """A pair whose words become common late shares its bucket with one of early words: its triples still count whole cycles."""
+    monkeypatch.setattr(collocations.TaskContext, "get", classmethod(lambda cls: type("T", (), {"partitionId": lambda self: 0})()))
+    early, late = "a b c d . " * 3, "x y z w . "
+    blocks = [early + late, early + late, early + late]
+    got = counted_in_steps(blocks, 3, (20, 1, 1), 12)
+    want = {" ".join(w[i:i + n]): c for w, c in (("a b c d".split(), 9), ("x y z w".split(), 3)) for n in range(1, 5) for i in range(5 - n)}
+    assert got == want
