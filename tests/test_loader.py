@@ -209,3 +209,24 @@ def test_partitioned_lookups_shuffle_only_the_batch(spark, new_wh):
     assert not loader._lookups  # rebuilt after a master load
     rep = loader.process_batch(raw_tx(spark, [("O3", "C6", "P2", "1", "2017-01-03")]), 2)
     assert (rep.loaded, rep.rejected) == (1, 0)
+
+
+def test_staged_rows_hold_raw_texts_once(spark, new_wh, monkeypatch):
+    """Every row passes the joins and the staging: identities and raw texts that the typed columns repeat stay out of them,
+    and the rejects hold the raw texts and identities all the same."""
+    from starmart.streaming import loader as L
+
+    tx = [("O1", "C1", "P1", "2", "2017-01-10"), (" O2", "C2", "P1", "2.0", "2017/01/11"), (" O3 ", "C9", "P1", "+3", "20170112"),
+          ("O4", "C9", "P9", "4", "2017-01-13"), ("O5", None, "P1", "x", "2017-01-14"), ("O6", "C1", "P2", "1", "2017-13-14")]
+    staged = []
+    routed_facts = L.facts
+    monkeypatch.setattr(L, "facts", lambda df, batch_id: staged.append(df.columns) or routed_facts(df, batch_id))
+    wh = new_wh()
+    loader = L.WarehouseLoader(wh)
+    loader.load_masters(raw_customers(spark, CUSTOMERS), raw_products(spark, PRODUCTS))
+    assert (loader.process_batch(raw_tx(spark, tx), 0).loaded, loader.reports[-1].rejected) == (2, 4)
+    assert not [c for c in staged[0] if c == "row_id" or c.startswith("raw_")]
+    got = wh.read("rejects").select(*L.RAW_COLS, "reject_reason", "row_id").collect()
+    want = raw_tx(spark, tx).withColumn("row_id", F.md5(F.to_json(F.struct(*L.RAW_COLS)))).collect()
+    assert sorted((*map(str, r[:5]), r["row_id"]) for r in got) == sorted((*map(str, r[:5]), r["row_id"]) for r in want[2:])
+    assert sorted(r["reject_reason"] for r in got) == ["bad_date", "missing_customer_id", "unknown_customer", "unknown_customer"]
