@@ -2,6 +2,7 @@
 
 import datetime as dt
 import itertools
+import re
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -122,3 +123,24 @@ def test_rollup_additive_equals_rollup_without_expanding_rows(spark):
         assert sorted(map(tuple, got.select(*want.columns).collect()), key=place) == sorted(map(tuple, want.collect()), key=place)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan
+
+
+def test_co_occurrence_joins_ordinary_baskets_without_another_shuffle(spark):
+    rows = [(o, p) for o in range(40) for p in range(o % 7)] + [(99, p) for p in range(60)] + [(None, 1), (None, 2), (5, None), (5, 1)]
+    df = spark.createDataFrame(rows, "o int, p int")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = olap.co_occurrence(df, "o", "p", hot_basket_items=20)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {(r.p_1, r.p_2): r.n for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert re.search(r"SortMergeJoin \[o#\d+\], \[o#\d+\]", plan)
+    lines = Counter((o, p) for o, p in rows if o is not None and p is not None)
+    want = Counter()
+    for (o, p), n in lines.items():
+        for (o2, q), m in lines.items():
+            if o == o2 and p < q:
+                want[p, q] += n * m
+    assert got == dict(want)
