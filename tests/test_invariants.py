@@ -1,5 +1,7 @@
 """Cross-report invariants on the warehouse loaded from the smallest tables."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,3 +64,14 @@ def test_growth_first_period_is_null(star):
     first = g.groupBy("storeName").agg(F.min("quarter").alias("q"))
     rows = g.join(first, ["storeName"]).filter(F.col("quarter") == F.col("q")).collect()
     assert rows and all(r.prev_quarter_revenue is None and r.growth_rate_percentage is None for r in rows)
+
+
+def test_staged_spikes_shuffle_the_daily_sales_once(spark, star):
+    """Stored by product, they are neither shuffled for the average nor for the join; the product table is."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = reports.q19b_spikes_staged(star)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(re.findall(r"hashpartitioning\(product_key#\d+L?, \d+\), ENSURE_REQUIREMENTS", plan)) <= 1
