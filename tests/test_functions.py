@@ -69,3 +69,26 @@ def test_tune_for_scale_sizes_partitions(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_plain_days_are_decided_without_patterns_and_alike(spark):
+    # the cast of the common form stands before the patterns, and gives what they give
+    days = {"2017-01-05": dt.date(2017, 1, 5), "2017-13-01": None, "2017-02-30": None, "0001-01-01": dt.date(1, 1, 1),
+            " 2017-1-05": dt.date(2017, 1, 5), "2017-01-5 ": dt.date(2017, 1, 5), "017-01-015": None, "+201-01-01": None,
+            "2017/01/05": dt.date(2017, 1, 5), "2017-01-05 10:30": dt.date(2017, 1, 5), "1/2/2017": dt.date(2017, 1, 2)}
+    df = spark.createDataFrame([(d,) for d in days], "d string").select("d", cleanse.parse_date("d").alias("p"))
+    assert {r.d: r.p for r in df.collect()} == days
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("length(d#") < plan.index("regexp_replace")  # the common form first, without a regular expression
+
+
+def test_texts_of_an_order_are_made_below_the_join(spark):
+    from starmart.sources import testdata
+    plan = testdata.transactions(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("date_format")
+
+
+def test_landing_gives_every_core_a_file(spark, tmpdir_path, monkeypatch):
+    from starmart.plans import catalog
+    monkeypatch.setattr(catalog, "_n_files", lambda s: 6)
+    assert len(spark.read.text(catalog._landed(spark, "/root/testdata/sf0.001", faults=True)).inputFiles()) == 6
