@@ -56,8 +56,9 @@ ROW_TYPE = pa.struct([("doc_id", pa.int64()), ("part", pa.string()), ("text_key"
                       ("symbols", pa.bool_())])
 #: Bits of a word's number that name the task that numbered it.
 TASK_BITS = 20
-#: Bytes of text in one shard.
+#: Bytes of text in one shard, and of text counted at once in a worker (a longer text is a block by itself).
 SHARD_BYTES = 32 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def pack(numbers: np.ndarray) -> bytes:
@@ -70,7 +71,8 @@ def unpack(packed: bytes) -> np.ndarray:
 
 
 def _sums(flags: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return np.diff(np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])[ends])
+    places = np.flatnonzero(flags)
+    return np.diff(np.searchsorted(places, ends))
 
 
 def csr_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
@@ -85,7 +87,7 @@ def csr_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarra
     entries, data = np.unique(row * len(words) + codes[word], return_counts=True)
     used, indices = np.unique(entries % len(words), return_inverse=True)
     indptr = np.searchsorted(entries // len(words), np.arange(len(texts) + 1))
-    return words.take(pa.array(used)), indptr, indices, data
+    return words.take(pa.array(used)), indptr, indices.astype(np.int32), data.astype(np.int32)
 
 
 def _one(values, kind: pa.DataType) -> pa.Array:
@@ -95,13 +97,24 @@ def _one(values, kind: pa.DataType) -> pa.Array:
 
 def row_values(batch: pa.RecordBatch) -> pa.Array:
     texts = batch.column(3).cast(pa.large_binary())
-    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
     ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
     return pa.StructArray.from_arrays(
         [batch.column(0), batch.column(1).cast(pa.string()), batch.column(2).cast(pa.binary()), pa.array(_sums((raw & 0xC0) != 0x80, ends)),
          pa.array(_sums(_CAPITAL[raw], ends)), pa.array(_sums(_SYMBOL[raw], ends) > 0)], fields=list(ROW_TYPE))
 
 
+def blocks(batch: pa.RecordBatch):
+    """Slices of about BLOCK_BYTES of text."""
+    ends = np.cumsum(pc.binary_length(batch.column(3)).to_numpy())
+    at = 0
+    while at < batch.num_rows:
+        n = max(1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK_BYTES, "right")) - at)
+        yield batch.slice(at, n)
+        at += n
+
+
 def local_shards(batches):
     """(doc_id, part, text_key, text) batches to shards of about SHARD_BYTES, and their words."""
     held: list[tuple] = []
@@ -109,25 +122,28 @@ def local_shards(batches):
 
     def shard():
         words = pa.concat_arrays([w for _, w, _, _, _ in held]).dictionary_encode()
-        place, at, indices, indptr, entries = words.indices.to_numpy(), 0, [], [np.zeros(1, np.int64)], 0
-        for _, w, ends, columns, _ in held:
-            indices.append(place[at : at + len(w)][columns])
+        place, at, indptr, entries = words.indices.to_numpy(), 0, [np.zeros(1, np.int64)], 0
+        indices, data = (np.empty(sum(len(d) for *_, d in held), np.int32) for _ in range(2))
+        for _, w, ends, columns, counts in held:
             indptr.append(ends[1:] + entries)
+            indices[entries : entries + ends[-1]] = place[at : at + len(w)][columns]
+            data[entries : entries + ends[-1]] = counts
             at, entries = at + len(w), entries + ends[-1]
         return pa.RecordBatch.from_arrays(
             [pa.array([TaskContext.get().partitionId() << 32 | number], pa.int64()), _one(pa.concat_arrays([r for r, *_ in held]), ROW_TYPE),
-             _one(np.concatenate(indptr), pa.int64()), pa.array([pack(np.concatenate(indices))], pa.binary()),
-             pa.array([pack(np.concatenate([d for *_, d in held]))], pa.binary()), _one(words.dictionary, pa.string())],
+             _one(np.concatenate(indptr), pa.int64()), pa.array([pack(indices)], pa.binary()), pa.array([pack(data)], pa.binary()),
+             _one(words.dictionary, pa.string())],
             names=["block", "rows", "indptr", "indices", "data", "words"])
 
     for batch in batches:
-        if batch.num_rows:
-            texts = batch.column(3).cast(pa.large_binary())
-            held.append((row_values(batch), *csr_of(texts)))
+        for block in blocks(batch):
+            texts = block.column(3).cast(pa.large_binary())
+            held.append((row_values(block), *csr_of(texts)))
             size += pc.sum(pc.binary_length(texts)).as_py()
         if size >= SHARD_BYTES:
             yield shard()
             held, size, number = [], 0, number + 1
+            pa.default_memory_pool().release_unused()
     if held:
         yield shard()
 

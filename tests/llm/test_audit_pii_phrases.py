@@ -6,7 +6,10 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
+import types
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +102,21 @@ def test_matrix_keeps_every_word_count(rows, docs, tmpdir_path):
     assert sorted(got) == sorted(want)
 
 
+def test_shards_take_little_memory_beyond_their_entries(monkeypatch):
+    monkeypatch.setattr(filter_audit, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    rng = random.Random(3)
+    words = [f"word{i}" for i in range(5_000)]
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(4_000)]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": list(range(i, i + 2_000)), "part": [""] * 2_000, "text_key": [b"k"] * 2_000, "text": texts[i : i + 2_000]}) for i in (0, 2_000)]
+    tracemalloc.start()
+    shards = list(filter_audit.local_shards(iter(batches)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    counts = [c for s in shards for b in filter_audit.row_statistics([s]) for c in b.column(6).to_pylist()]
+    assert counts == [400] * 4_000
+    assert peak < 3 * sum(map(len, texts))
+
+
 def test_filter_audit_without_rows(spark, empty):
     assert filter_audit.audit(filter_audit.failures(empty), spark.createDataFrame([], LABELS)).count() == 0
 
