@@ -241,14 +241,34 @@ def _stars(components: DataFrame) -> DataFrame:
 
 def _mixed_lists(lists: DataFrame, edges: DataFrame) -> DataFrame:
     """The lists that hold several components, with each member's root and the list's
-    largest component."""
+    largest component; dealt by shingle."""
     rooted = lists.join(edges.select(F.col("a").alias("class"), F.col("b").alias("root")), "class", "left")
-    rooted = staged(rooted.withColumn("root", F.coalesce("root", "class")), "jaccard-rooted")
+    rooted = rooted.withColumn("root", F.coalesce("root", "class")).repartition("shingle")
     largest = (rooted.groupBy("shingle", "root").agg(F.count("*").alias("n")).groupBy("shingle")
                .agg(F.max(F.struct("n", "root"))["root"].alias("largest"), F.count("*").alias("roots")).where("roots > 1"))
     return rooted.join(largest.select("shingle", "largest"), "shingle")
 
 
+def _first_stars(now: DataFrame) -> DataFrame:
+    """Members with the leaders of their list that meet most others: of all, and of quarters chosen by hash."""
+    leaders = []
+    for i in range(LEADERS[0]):
+        chosen = F.lit(True) if i == 0 else F.pmod(F.xxhash64("class", F.lit(i)), F.lit(4)) == 0
+        leaders.append(F.max(F.when(chosen, F.struct("degree", "class", "place", "root"))).over(Window.partitionBy("shingle")))
+    return (now.select(F.col("class").alias("a"), F.col("place").alias("place_a"), "root", F.array(*leaders).alias("l"))
+            .select("a", "place_a", "root", F.explode("l").alias("l")).where(F.col("l").isNotNull() & (F.col("root") != F.col("l.root")))
+            .select("a", "place_a", F.col("l.class").alias("b"), F.col("l.place").alias("place_b")))
+
+
+def _more_stars(now: DataFrame, round_: int) -> DataFrame:
+    """Members outside their list's largest component with leaders in it: one of each class of a hash."""
+    by = F.xxhash64("class", F.lit(100 * round_))
+    leaders = (now.where("root = largest").groupBy("shingle", F.pmod(by, F.lit(LEADERS[round_])).alias("part"))
+               .agg(F.max(F.struct(by.alias("by"), "class", "place")).alias("l")).select("shingle", "l"))
+    return (now.where("root != largest").select("shingle", F.col("class").alias("a"), F.col("place").alias("place_a")).join(leaders, "shingle")
+            .select("a", "place_a", F.col("l.class").alias("b"), F.col("l.place").alias("place_b")))
+
+
 def _document_table(texts: DataFrame, words: int) -> tuple[DataFrame, int]:
     for seed in range(16):
         found = staged(texts.mapInArrow(document_rows(words, seed), DOCS), "jaccard-docs")
@@ -307,21 +327,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     lists = staged(lists.join(degree, "class"), "jaccard-lists-2")
     edges = docs.sparkSession.createDataFrame([], "a long, b long")
     tested = edges
-    for round_, n_leaders in enumerate(LEADERS):
+    for round_ in range(len(LEADERS)):
         now = _mixed_lists(lists, edges)
-        leaders = []
-        for i in range(n_leaders):
-            by = F.xxhash64("class", F.lit(100 * round_ + i))
-            if round_ == 0:  # the first of all, the others each of a quarter chosen by hash
-                chosen, by = F.lit(True) if i == 0 else F.pmod(by, F.lit(4)) == 0, F.col("degree")
-            else:
-                chosen = F.col("root") == F.col("largest")
-            leaders.append(F.max(F.when(chosen, F.struct(by.alias("by"), "class", "place", "root"))).over(of_shingle).alias(f"l{i}"))
-        followers = now.select("class", "place", "root", "largest", *leaders).where("true" if round_ == 0 else "root != largest")
-        stars = _pairs(
-            followers.select(F.col("class").alias("a"), F.col("place").alias("place_a"), "root", F.explode(F.array(*[f"l{i}" for i in range(n_leaders)])).alias("l"))
-            .where(F.col("l").isNotNull() & (F.col("root") != F.col("l.root")))
-            .select("a", "place_a", F.col("l.class").alias("b"), F.col("l.place").alias("place_b")), percent)
+        stars = _pairs(_more_stars(now, round_) if round_ else _first_stars(now), percent)
         stars = staged(stars.join(tested, ["a", "b"], "left_anti"), "jaccard-stars")
         tested = tested.union(stars.select("a", "b"))
         edges = _stars(connected_components(edges.union(_links(stars, segments, percent))))

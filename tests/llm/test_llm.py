@@ -614,3 +614,14 @@ def test_url_sample_keeps_both_verdicts_at_any_share(spark):
     assert len(got) == 620 and all(r["probability"] is not None for r in got if r["rule"] is None)
     again = {r["page_id"]: r["probability"] for r in url_filter.judge(df.repartition(5), train_rows=200).collect()}
     assert again == {r["page_id"]: r["probability"] for r in url_filter.judge(df, train_rows=200).collect()}
+
+
+def test_components_end_with_stars_and_no_step_more(spark, monkeypatch):
+    steps, staged = [], components.staged
+    monkeypatch.setattr(components, "staged", lambda df, name="": steps.append(name) or staged(df, name))
+    stars = spark.createDataFrame([(1, i) for i in range(2, 50)] + [(100, 101), (100, 100)], "a long, b long")
+    assert {r["id"]: r["root"] for r in components.connected_components(stars).collect()} == {i: 1 for i in range(1, 50)} | {100: 100, 101: 100}
+    assert len(steps) == 1
+    path = spark.createDataFrame([(1, 2), (2, 3)], "a long, b long")
+    assert {r["root"] for r in components.connected_components(path).collect()} == {1}
+    assert len(steps) == 3
