@@ -203,9 +203,10 @@ def row_statistics(batches):
     """Shards to their rows with the row's sum and number of nonzeros."""
     for batch in batches:
         for i in range(batch.num_rows):
-            rows, ends, data = batch.column(1)[i].values, batch.column(2)[i].values.to_numpy(), unpack(batch.column(4)[i].as_py())
-            sums = np.diff(np.concatenate([[0], np.cumsum(data, dtype=np.int64)])[ends])
-            yield pa.RecordBatch.from_arrays([*rows.flatten(), pa.array(sums), pa.array(np.diff(ends))],
+            rows, ends, data = batch.column("rows")[i].values, batch.column("indptr")[i].values.to_numpy(), unpack(batch.column("data")[i].as_buffer())
+            before = np.zeros(len(data) + 1, np.int64)
+            np.cumsum(data, out=before[1:])
+            yield pa.RecordBatch.from_arrays([*rows.flatten(), pa.array(np.diff(before[ends])), pa.array(np.diff(ends))],
                                              names=["doc_id", "part", "text_key", "chars", "capitals", "symbols", "words", "distinct_words"])
 
 
@@ -220,7 +221,7 @@ def failures(docs: DataFrame) -> DataFrame:
     path = scratch(docs.sparkSession, "matrix-local")
     _, matrix = document_term_matrix(rows, path)
     delete_path(docs.sparkSession, path)
-    found = matrix.mapInArrow(row_statistics, STATISTICS)
+    found = matrix.select("rows", "indptr", "data").mapInArrow(row_statistics, STATISTICS)
     # by text, so that a group of any size is reduced before the shuffle; its smallest id then meets that document only
     firsts = matrix.select(F.explode("rows").alias("r")).select("r.text_key", "r.doc_id").groupBy("text_key").agg(F.min("doc_id").alias("doc_id"))
     firsts = firsts.where("doc_id is not null").withColumn("first", F.lit(True))
